@@ -529,5 +529,32 @@ walk AS (
   FROM walk w JOIN d ON d.event_type = w.event_type AND d.i = w.i + 1)
 SELECT event_type, strftime(day, '%Y-%m-%d') AS day,
   CASE WHEN failed THEN 'degradation' ELSE 'schedule' END AS reason FROM walk WHERE fired""",
+        "layer_tables": f"""WITH {ORDERS}
+SELECT strftime(month, '%Y-%m-%d') AS month, count(*) AS n_rows,
+  CAST(sum(label) AS BIGINT) AS n_positive FROM ord WHERE label IS NOT NULL GROUP BY month""",
+        "replace_partitions": f"""WITH {SCORED}
+SELECT strftime(month, '%Y-%m-%d') AS day, count(*) AS n_rows,
+  CAST(sum(score + CASE WHEN year(month) = 1996 THEN 1000 ELSE 0 END) AS BIGINT) AS score_sum
+FROM scored WHERE month <> DATE '1996-03-01' GROUP BY month""",
+        "raw_to_staging": """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+  round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer""",
+        "ingest_landing": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id,
+  event_type, round(value, 6) AS value, props FROM events""",
+        "ingest_log": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id,
+  event_type, round(value, 6) AS value FROM events""",
+        "stream_positive_rate": f"""WITH {EVENTS}
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n_rows,
+  CAST(sum(label) AS BIGINT) AS n_positive, round(avg(label), 6) AS positive_rate
+FROM ev WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM ev)
+GROUP BY CAST(ts AS DATE)""",
+        "stream_label_join": f"""WITH {ORDERS},
+mark AS (SELECT least(max(purchase_ts), max(delivered_at)) - INTERVAL 1 DAY AS wm FROM ord)
+SELECT order_id, strftime(purchase_ts, '%Y-%m-%d %H:%M:%S') AS purchase_ts,
+  CASE WHEN delivered_at <= purchase_ts + INTERVAL 400 DAY
+    THEN strftime(delivered_at, '%Y-%m-%d %H:%M:%S') END AS delivered_at,
+  CASE WHEN delivered_at <= purchase_ts + INTERVAL 400 DAY THEN CAST(label AS BIGINT) END
+    AS is_late_delivery
+FROM ord, mark
+WHERE delivered_at <= purchase_ts + INTERVAL 400 DAY OR purchase_ts + INTERVAL 400 DAY < wm""",
     }
     return sql
