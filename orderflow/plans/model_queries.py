@@ -166,8 +166,17 @@ def publish_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_alias(registry.aliases(spark)).join(versions, ["name", "version"])
 
 
+def per_day(predictions: DataFrame) -> DataFrame:
+    """Per day and version: rows, distinct orders, and scores that are probabilities."""
+    return predictions.groupBy("day", "model_version").agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct(KEY).alias("n_orders"),
+        F.count_if(F.col("score").between(0.0, 1.0)).alias("n_valid"),
+    )
+
+
 def _predictions(spark: SparkSession, out: str) -> DataFrame:
-    return read_predictions(spark, out, T.LongType(), KEY)
+    return per_day(read_predictions(spark, out, T.LongType(), KEY))
 
 
 SCORED_AT = datetime(2002, 1, 2)

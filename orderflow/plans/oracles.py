@@ -166,6 +166,13 @@ def fingerprint(source: str, entry: str, params: str, by: str = "", name: str =
   FROM {name}_3 {group})"""
 
 
+def scored_days(condition: str) -> str:
+    """Expected rows per day after scoring each order of some days once with version 1."""
+    return f"""SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(1 AS BIGINT) AS model_version,
+  count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_orders, count(*) AS n_valid
+FROM orders WHERE {condition} GROUP BY strftime(o_orderdate, '%Y-%m-%d')"""
+
+
 METRICS = "n_rows, n_positive, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc"
 
 PSI_BINS = {
@@ -536,6 +543,22 @@ SELECT strftime(month, '%Y-%m-%d') AS month, count(*) AS n_rows,
 SELECT strftime(month, '%Y-%m-%d') AS day, count(*) AS n_rows,
   CAST(sum(score + CASE WHEN year(month) = 1996 THEN 1000 ELSE 0 END) AS BIGINT) AS score_sum
 FROM scored WHERE month <> DATE '1996-03-01' GROUP BY month""",
+        "score_days": scored_days(
+            "o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1998-04-01'"
+        ),
+        "backfill": scored_days("year(o_orderdate) = 1998"),
+        "score_changed": scored_days("o_orderdate >= DATE '2001-06-01'"),
+        "score_stream": scored_days("true"),
+        "register_and_promote": f"""WITH {ORDERS},
+ds AS (SELECT order_id FROM ord
+  WHERE label IS NOT NULL AND day >= DATE '1995-01-01' AND day < DATE '1998-01-01'),
+{fingerprint("ds", "CAST(order_id AS VARCHAR)",
+             '{"levels": [6, 3], "model": "logreg", "seed": 42, '
+             '"window_end": "1998-01-01", "window_start": "1995-01-01"}')},
+a AS (SELECT unnest(['champion', 'challenger']) AS alias)
+SELECT 'late_delivery' AS name, CAST(1 AS BIGINT) AS version, alias,
+  '2002-01-01 00:00:00' AS valid_from, fingerprint,
+  '{{"window_end": "1998-01-01", "window_start": "1995-01-01"}}' AS tags FROM a, f""",
         "raw_to_staging": """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
   round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer""",
         "ingest_landing": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id,

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.functions.labels import late_label
 from orderflow.operators.staging import Field, stage
 from orderflow.plans.catalog import Query
 from orderflow.plans.mart import LABEL, feature_spec, inference_mart, mart_order_features
-from orderflow.plans.model_queries import SCORED_AT, features_layer, fit_logreg
+from orderflow.plans.model_queries import SCORED_AT, features_layer, fit_logreg, per_day
 from orderflow.sources.layers import write_layer
 from orderflow.sources.raw import read_raw
 from orderflow.sources.roles import load_roles, table
 from orderflow.streaming.ingest import append_stream, ingest_landing, ingest_log, read_landing
 from orderflow.streaming.monitors import stream_label_join, stream_positive_rate
 from orderflow.streaming.scoring import current_predictions, score_stream
-from orderflow.functions.labels import late_label
 from orderflow.workspace import run_dir
 
 LAG = "400 days"
@@ -88,7 +88,7 @@ def score_stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = read_landing(spark, landing, rows.schema, options={"maxFilesPerTrigger": 2})
     out, checkpoint = run_dir(spark, "predictions"), run_dir(spark, "cursor")
     score_stream(stream, model, 1, out, checkpoint, SCORED_AT).awaitTermination()
-    return current_predictions(spark.read.parquet(out)).drop("batch_id")
+    return per_day(current_predictions(spark.read.parquet(out)))
 
 
 RAW_CUSTOMERS = [
