@@ -60,12 +60,14 @@ from orderflow.operators.windows import (
 )
 from orderflow.plans.mart import (
     LABEL,
+    build_layers,
     inference_mart,
     mart_order_features,
     order_features,
 )
 from orderflow.sources.layers import latest_by
 from orderflow.sources.roles import instant, load_roles, table
+from orderflow.workspace import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +110,24 @@ def features_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_features(load_roles(spark, sf_dir))
 
 
+_layers: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+
+
+def features_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written features of all orders; layers are built once per application and folder.
+
+    Monitoring, gates, training and scoring read this table, as they would in
+    a pipeline; `layer_tables` and the first reader pay for building it.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _layers:
+        root = run_dir(spark, "layers")
+        schema = build_layers(load_roles(spark, sf_dir), root).schema
+        _layers[known] = (f"{root}/marts/order_features", schema)
+    path, schema = _layers[known]
+    return spark.read.schema(schema).parquet(path)
+
+
 def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their label; needs deliveries only."""
     return load_roles(spark, sf_dir).orders.select(
@@ -122,7 +142,7 @@ def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered orders with two formula scores in place of model output."""
-    mart = mart_order_features(features_of(spark, sf_dir))
+    mart = mart_order_features(features_layer(spark, sf_dir))
     return mart.select(
         "order_id",
         "purchase_date",
@@ -427,7 +447,7 @@ def leakage_scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("order_id").alias("_order"),
         F.datediff("delivered_at", "purchase_date").alias("delivery_days"),
     )
-    rows = mart(spark, sf_dir).join(delivered, F.col("order_id") == F.col("_order"))
+    rows = mart_order_features(features_layer(spark, sf_dir)).join(delivered, F.col("order_id") == F.col("_order"))
     return leakage_scan(rows, LEAKAGE_COLUMNS, LABEL)
 
 
@@ -435,23 +455,23 @@ def leakage_scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def psi_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, cur = time_split(inference(spark, sf_dir), "purchase_date", CUTOFF)
+    base, cur = time_split(features_layer(spark, sf_dir), "purchase_date", CUTOFF)
     return psi(base, cur, PSI_EDGES)
 
 
 def ks_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, cur = time_split(inference(spark, sf_dir), "purchase_date", CUTOFF)
+    base, cur = time_split(features_layer(spark, sf_dir), "purchase_date", CUTOFF)
     return ks(base, cur, ["n_items", "sum_price", "avg_discount", "month_index"])
 
 
 def bin_edges_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = bin_edges(inference(spark, sf_dir), ["n_items", "sum_price", "customer_acctbal"])
+    edges = bin_edges(features_layer(spark, sf_dir), ["n_items", "sum_price", "customer_acctbal"])
     return edges.select("feature", F.posexplode("edges").alias("position", "edge"))
 
 
 def feature_skew_served(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Serving that fills unknown rates with zero and cuts prices to whole units."""
-    rows = inference(spark, sf_dir)
+    rows = inference_mart(features_layer(spark, sf_dir))
     served = rows.withColumns(
         {
             "seller_late_rate_before": F.coalesce("seller_late_rate_before", F.lit(0.0)),
@@ -463,7 +483,7 @@ def feature_skew_served(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = features_of(spark, sf_dir)
+    features = features_layer(spark, sf_dir)
     base, cur = time_split(features, "purchase_date", CUTOFF)
     shifted = rate_shift(base, cur, LABEL).select(
         F.lit("positive_rate").alias("check"),
@@ -573,7 +593,7 @@ def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def formula_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of all orders, by version 1 until 1997 and version 2 after."""
-    features = inference(spark, sf_dir)
+    features = inference_mart(features_layer(spark, sf_dir))
     return features.select(
         "order_id",
         F.col("purchase_date").alias("day"),

@@ -132,8 +132,13 @@ def seller_totals(pairs: DataFrame, orders: DataFrame, sellers: DataFrame) -> Da
     nations = orders.select("order_id", "customer_nation")
     same = F.col("seller_nation") == F.col("customer_nation")
     return (
-        with_lookup(pairs, sellers, "seller_id")
-        .join(record, (F.col("seller_id") == F.col("_seller")) & (F.col("purchase_ts") == F.col("_ts")))
+        with_lookup(
+            pairs.join(
+                record, (F.col("seller_id") == F.col("_seller")) & (F.col("purchase_ts") == F.col("_ts"))
+            ),
+            sellers,
+            "seller_id",
+        )
         .join(nations, "order_id")
         .groupBy("order_id")
         .agg(

@@ -31,10 +31,16 @@ from orderflow.operators.training import (
     train,
 )
 from orderflow.operators.windows import parts, training_dataset, window_bounds
-from orderflow.plans.catalog import CUTOFF, SEED, TEST_FRAC, Query, scored_orders
-from orderflow.plans.mart import LABEL, build_layers, feature_spec, inference_mart, mart_order_features
+from orderflow.plans.catalog import (
+    CUTOFF,
+    SEED,
+    TEST_FRAC,
+    Query,
+    features_layer,
+    scored_orders,
+)
+from orderflow.plans.mart import LABEL, feature_spec, inference_mart, mart_order_features
 from orderflow.sources.layers import replace_partitions
-from orderflow.sources.roles import load_roles
 from orderflow.workspace import materialize, run_dir
 
 KEY = "order_id"
@@ -42,19 +48,6 @@ MODEL_NAME = "late_delivery"
 GBT_PARAMS = {"maxIter": 10, "maxDepth": 4}
 CREATED = datetime(2002, 1, 1)
 
-_layers: dict[tuple[str, str], str] = {}
-
-
-def features_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written features of all orders; layers are built once per application and folder."""
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _layers:
-        root = run_dir(spark, "layers")
-        build_layers(load_roles(spark, sf_dir), root)
-        _layers[known] = f"{root}/marts/order_features"
-    return spark.read.parquet(_layers[known])
-
-
 def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late share by month read back from the written layer."""
     rows = mart_order_features(features_layer(spark, sf_dir))

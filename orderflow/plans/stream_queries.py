@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.labels import late_label
 from orderflow.operators.staging import Field, stage
-from orderflow.plans.catalog import Query
+from orderflow.plans.catalog import Query, features_layer
 from orderflow.plans.mart import LABEL, feature_spec, inference_mart, mart_order_features
-from orderflow.plans.model_queries import SCORED_AT, features_layer, fit_logreg, per_day
+from orderflow.plans.model_queries import SCORED_AT, fit_logreg, per_day
 from orderflow.sources.layers import write_layer
 from orderflow.sources.raw import read_raw
 from orderflow.sources.roles import load_roles, table
