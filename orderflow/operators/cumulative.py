@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _INF = float("inf")
-_MIN_BUCKETS, _MAX_BUCKETS = 32, 4096
+_BUCKETS_PER_PARTITION = 8
+_MIN_BUCKETS, _MAX_BUCKETS = 64, 4096
 
 
 def default_buckets(df: DataFrame) -> int:
-    """Bucket count from the shuffle width, within fixed bounds."""
+    """Several buckets per shuffle partition, so that they spread evenly; within fixed bounds."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(2 * width, _MIN_BUCKETS), _MAX_BUCKETS)
+    return min(max(_BUCKETS_PER_PARTITION * width, _MIN_BUCKETS), _MAX_BUCKETS)
 
 
 def equi_depth_edges(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
@@ -46,7 +47,7 @@ def bucket_by_edges(df: DataFrame, value: str, edges: Sequence[float], output: s
     binner = Bucketizer(
         splits=[-_INF, *inner, _INF], inputCol=value, outputCol=output, handleInvalid="keep"
     )
-    return binner.transform(df)
+    return binner.transform(df).withColumn(output, F.col(output).cast("int"))
 
 
 def cumulative_counts(

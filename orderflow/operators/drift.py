@@ -177,6 +177,36 @@ def drift_checks(statistics: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
+def prediction_monitoring(
+    base: DataFrame,
+    cur: DataFrame,
+    edges: Sequence[float],
+    cutoff: float,
+    limits: DataFrame,
+    score: str = "score",
+) -> DataFrame:
+    """Checks on predictions before any label is known.
+
+    PSI of the score, and the change of the share predicted positive, that
+    is with a score of at least `cutoff`; limits as in `drift_checks`.
+    """
+
+    def flagged(df: DataFrame) -> DataFrame:
+        return df.select(score, (F.col(score) >= cutoff).cast("int").alias("_positive"))
+
+    shifted = rate_shift(flagged(base), flagged(cur), "_positive").select(
+        F.lit("positive_rate").alias("check"),
+        F.lit("predictions").alias("subject"),
+        F.col("shift").alias("observed"),
+    )
+    stability = psi(base, cur, {score: edges}).select(
+        F.lit("psi").alias("check"),
+        F.col("feature").alias("subject"),
+        F.col("psi").alias("observed"),
+    )
+    return drift_checks(stability.unionByName(shifted), limits)
+
+
 def rate_shift(base: DataFrame, cur: DataFrame, label: str) -> DataFrame:
     """Absolute change of the positive rate between two samples: (base_rate, cur_rate, shift)."""
     rows = base.select(F.col(label).cast("double").alias("base")).withColumn(

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderflow.operators.gates import enforce
 from orderflow.sources.layers import latest_by
 
+CHAMPION = "champion"
+
 VERSION_SCHEMA = T.StructType(
     [
         T.StructField("name", T.StringType()),
@@ -108,6 +111,30 @@ def set_alias(spark: SparkSession, path: str, name: str, alias: str, version: in
     row.coalesce(1).write.mode("append").parquet(path)
 
 
+def promote(spark: SparkSession, path: str, name: str, version: int, at: datetime,
+            gate_results: DataFrame | None = None) -> None:
+    """Make a version the champion; with gate results only when no blocking check failed."""
+    if gate_results is not None:
+        enforce(gate_results)
+    set_alias(spark, path, name, CHAMPION, version, at)
+
+
+def rollback(spark: SparkSession, path: str, name: str, at: datetime) -> int:
+    """Point the champion back at the version it held before the current one; nothing is refitted."""
+    history = read_table(spark, path, ALIAS_SCHEMA).where(
+        (F.col("name") == name) & (F.col("alias") == CHAMPION)
+    )
+    now = current_alias(history).first()
+    earlier = None if now is None else latest_by(
+        history.where(F.col("version") != now["version"]), ["name", "alias"], "valid_from"
+    ).first()
+    if earlier is None:
+        raise LookupError(f"{name!r} had no other champion before")
+    version = earlier["version"]
+    set_alias(spark, path, name, CHAMPION, version, at)
+    return version
+
+
 def current_alias(history: DataFrame) -> DataFrame:
     """The version every (name, alias) points at now."""
     return latest_by(history, ["name", "alias"], "valid_from", ["version"])

@@ -37,18 +37,27 @@ def sample_connected(
     follows: Sequence[Follow],
     sample_frac: float,
     seed: int,
+    caps: Mapping[str, tuple[int, Sequence[str]]] | None = None,
 ) -> dict[str, DataFrame]:
     """One hash sample of the root table, every other table pulled in by key.
 
     `follows` lists the relations in dependency order; a table reached over
     several of them keeps a row when any one matches. Tables that carry the
     root key are hash-filtered at their scan before the semi join, so only
-    about `sample_frac` of them is shuffled.
+    about `sample_frac` of them is shuffled. `caps` bounds lookup tables:
+    (rows, key columns) by table name, applied after the keys were followed.
     """
+    limits = caps or {}
 
     def kept(df: DataFrame, key: str) -> DataFrame:
         return df.where(unit_hash(key, "sample", seed) < sample_frac)
 
+    def capped(table: str, df: DataFrame) -> DataFrame:
+        if table not in limits:
+            return df
+        n, key_cols = limits[table]
+        return cap_rows(df, n, key_cols, seed)
+
     sampled = {root: kept(tables[root], root_key)}
     for table in dict.fromkeys(f.table for f in follows):
         relations = [f for f in follows if f.table == table]
@@ -57,9 +66,10 @@ def sample_connected(
             relation = relations[0]
             if relation.parent == root and relation.parent_key == root_key:
                 source = kept(source, relation.key)
-            sampled[table] = semi_on(
+            kept_rows = semi_on(
                 source, relation.key, sampled[relation.parent], relation.parent_key
             )
+            sampled[table] = capped(table, kept_rows)
             continue
         if len({f.key for f in relations}) > 1:
             raise ValueError(f"relations of {table!r} must use one key column")
@@ -67,7 +77,7 @@ def sample_connected(
         for relation in relations:
             part = sampled[relation.parent].select(F.col(relation.parent_key).alias("_key"))
             keys = part if keys is None else keys.union(part)
-        sampled[table] = semi_on(source, relations[0].key, keys, "_key")
+        sampled[table] = capped(table, semi_on(source, relations[0].key, keys, "_key"))
     return sampled
 
 

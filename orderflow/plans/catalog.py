@@ -32,6 +32,7 @@ from orderflow.operators.drift import (
     drift_checks,
     feature_skew,
     ks,
+    prediction_monitoring,
     psi,
     rate_shift,
 )
@@ -85,6 +86,8 @@ PSI_EDGES = {
     "customer_acctbal": [0.0, 2000.0, 4000.0, 6000.0, 8000.0],
     "month_index": [23940.0, 23952.0, 23964.0, 23976.0, 23988.0, 24000.0],
 }
+SCORE_EDGES = [20.0, 40.0, 60.0, 80.0, 100.0, 120.0]
+SCORE_CUTOFF = 100.0
 DRIFT_LIMITS = [("psi", 0.1, 0.25), ("positive_rate", 0.02, 0.05)]
 
 
@@ -291,7 +294,9 @@ def connected_sample(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     tables["nations"] = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("nation_id"), "n_name"
     )
-    return sample_connected(tables, "orders", "order_id", FOLLOWS, SAMPLE_FRAC, SEED)
+    return sample_connected(
+        tables, "orders", "order_id", FOLLOWS, SAMPLE_FRAC, SEED, {"products": (50, ["product_id"])}
+    )
 
 
 SAMPLE_KEYS = {
@@ -389,8 +394,9 @@ def fingerprint_item_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.to_date("purchase_ts")
     orders = load_roles(spark, sf_dir).orders.select(
-        "order_id", F.to_date("purchase_ts").alias("day"), month_of(F.to_date("purchase_ts")).alias("month")
+        "order_id", day.alias("day"), month_of(day).alias("month")
     )
     old = visible_as_of(orders, "day", date(2000, 6, 15))
     new = orders.where(F.col("day") >= F.lit(date(1995, 2, 1)))
@@ -447,7 +453,8 @@ def leakage_scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("order_id").alias("_order"),
         F.datediff("delivered_at", "purchase_date").alias("delivery_days"),
     )
-    rows = mart_order_features(features_layer(spark, sf_dir)).join(delivered, F.col("order_id") == F.col("_order"))
+    features = mart_order_features(features_layer(spark, sf_dir))
+    rows = features.join(delivered, F.col("order_id") == F.col("_order"))
     return leakage_scan(rows, LEAKAGE_COLUMNS, LABEL)
 
 
@@ -503,6 +510,12 @@ def drift_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_checks(statistics, limits)
 
 
+def prediction_monitoring_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, cur = time_split(formula_predictions(spark, sf_dir), "day", CUTOFF)
+    limits = spark.createDataFrame(DRIFT_LIMITS, "check string, warn double, error double")
+    return prediction_monitoring(base, cur, SCORE_EDGES, SCORE_CUTOFF, limits)
+
+
 # --- gates --------------------------------------------------------------
 
 
@@ -667,6 +680,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "bin_edges": bin_edges_features,
     "feature_skew": feature_skew_served,
     "drift_checks": drift_check_rows,
+    "prediction_monitoring": prediction_monitoring_rows,
     "threshold_calibration": threshold_calibration,
     "quality_gate": quality_gate_rows,
     "champion_gate": champion_gate_rows,

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.operators.fingerprint import changed_partitions, dataset_fingerprint
-from orderflow.operators.gates import champion_gate, enforce, quality_gate
-from orderflow.operators.registry import current_alias, register_version, set_alias
+from orderflow.operators.gates import champion_gate, quality_gate
+from orderflow.operators.registry import current_alias, promote, register_version, set_alias
 from orderflow.operators.scoring import (
     Registry,
     backfill,
@@ -137,7 +137,7 @@ def publish(spark: SparkSession, sf_dir: str) -> Registry:
     params = {"model": "logreg", "seed": SEED, **bounds.tags()}
     fingerprint = dataset_fingerprint(dataset, KEY, params).first()["fingerprint"]
     model = fit_logreg(rows, feature_spec())
-    enforce(quality_gate(evaluate_model(model, holdout, LABEL), 0.55, 0.10))
+    gate = quality_gate(evaluate_model(model, holdout, LABEL), 0.55, 0.10)
     path = f"{root}/models/{fingerprint}"
     model.write().overwrite().save(path)
     version, _ = register_version(
@@ -149,7 +149,7 @@ def publish(spark: SparkSession, sf_dir: str) -> Registry:
     if not reused or again != version:
         raise RuntimeError("registering the same fingerprint twice added a version")
     set_alias(spark, registry.aliases_path, MODEL_NAME, "challenger", version, CREATED)
-    set_alias(spark, registry.aliases_path, MODEL_NAME, "champion", version, CREATED)
+    promote(spark, registry.aliases_path, MODEL_NAME, version, CREATED, gate)
     return registry
 
 

@@ -270,7 +270,8 @@ s_orders AS (
   SELECT o_orderkey AS k, o_custkey FROM orders WHERE {unit("o_orderkey", "sample", 42)} < 0.05),
 s_items AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT k FROM s_orders)),
 s_customers AS (SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM s_orders)),
-s_products AS (SELECT * FROM part WHERE p_partkey IN (SELECT l_partkey FROM s_items)),
+s_products AS (SELECT * FROM part WHERE p_partkey IN (SELECT l_partkey FROM s_items)
+  ORDER BY {unit("p_partkey", "cap", 42)}, p_partkey LIMIT 50),
 s_sellers AS (SELECT * FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM s_items)),
 s_nations AS (SELECT * FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM s_customers)
   OR n_nationkey IN (SELECT s_nationkey FROM s_sellers))"""
@@ -468,6 +469,27 @@ UNION ALL SELECT 'customer_segment', n, 0, 0.0::DOUBLE FROM c""",
     0.02::DOUBLE, 0.05::DOUBLE FROM ord),
 lev AS (SELECT *, CASE WHEN observed > error THEN 'ERROR' WHEN observed > warn THEN 'WARN'
   ELSE 'OK' END AS severity FROM stat)
+SELECT "check", subject, 'monitoring' AS stage, severity, severity = 'OK' AS passed,
+  round(observed, 6) AS observed,
+  CASE WHEN severity = 'ERROR' THEN error ELSE warn END AS threshold FROM lev""",
+        "prediction_monitoring": f"""WITH {FEATURES}, pred AS (
+  SELECT purchase_date >= DATE '1998-01-01' AS is_cur,
+    CAST(24100 - month_index - 10 * n_items AS DOUBLE) AS score FROM feat),
+binned AS (SELECT is_cur, least(greatest(floor(score / 20), 0), 6) AS bin FROM pred),
+sizes AS (SELECT count(*) FILTER (NOT is_cur) AS nb, count(*) FILTER (is_cur) AS nc FROM pred),
+shares AS (
+  SELECT greatest(count(*) FILTER (NOT is_cur) / CAST(max(nb) AS DOUBLE), 0.0001::DOUBLE) AS e,
+    greatest(count(*) FILTER (is_cur) / CAST(max(nc) AS DOUBLE), 0.0001::DOUBLE) AS c
+  FROM binned, sizes GROUP BY bin),
+stat AS (
+  SELECT 'psi' AS "check", 'score' AS subject, sum((c - e) * ln(c / e)) AS observed,
+    0.1::DOUBLE AS warn, 0.25::DOUBLE AS error FROM shares
+  UNION ALL SELECT 'positive_rate', 'predictions',
+    abs(avg(CASE WHEN score >= 100 THEN 1 ELSE 0 END) FILTER (is_cur)
+      - avg(CASE WHEN score >= 100 THEN 1 ELSE 0 END) FILTER (NOT is_cur)),
+    0.02::DOUBLE, 0.05::DOUBLE FROM pred),
+lev AS (SELECT *, CASE WHEN observed > error THEN 'ERROR' WHEN observed > warn THEN 'WARN'
+  ELSE 'OK' END AS severity FROM stat)
 SELECT "check", subject, 'monitoring' AS stage, severity, severity = 'OK' AS passed,
   round(observed, 6) AS observed,
   CASE WHEN severity = 'ERROR' THEN error ELSE warn END AS threshold FROM lev""",

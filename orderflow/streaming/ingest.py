@@ -17,6 +17,12 @@ def read_landing(spark: SparkSession, directory: str, schema: T.StructType,
     return reader.options(**dict(options or {})).load(directory)
 
 
+def parse_entries(stream: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+    """Columns of log entries that a message bus delivers as JSON text or bytes."""
+    entry = F.from_json(F.col(column).cast("string"), schema)
+    return stream.select(entry.alias("_entry")).select("_entry.*")
+
+
 def append_stream(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet table, exactly once, and stop when all input is read."""
     return (

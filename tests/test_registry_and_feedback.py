@@ -4,15 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators.feedback import late_label_join, model_performance, retrain_triggers
+from orderflow.operators.gates import GateFailed, quality_gate
 from orderflow.operators.registry import (
     ALIAS_SCHEMA,
     VERSION_SCHEMA,
     alias_as_of,
     current_alias,
     model_path_of,
+    promote,
     read_table,
     register_version,
     resolve_versions,
+    rollback,
     set_alias,
 )
 
@@ -47,6 +50,21 @@ def test_promote_and_rollback(spark, tmp_path):
         model_path_of(table, history, "m", "unknown")
 
 
+def test_promote_asks_the_gate_and_rollback_goes_one_back(spark, tmp_path):
+    aliases = str(tmp_path / "aliases")
+    good = quality_gate(spark.createDataFrame([(0.8,)], "roc_auc double"), 0.6)
+    poor = quality_gate(spark.createDataFrame([(0.5,)], "roc_auc double"), 0.6)
+    promote(spark, aliases, "m", 1, T0, good)
+    with pytest.raises(LookupError):
+        rollback(spark, aliases, "m", T0 + timedelta(days=1))
+    with pytest.raises(GateFailed):
+        promote(spark, aliases, "m", 2, T0 + timedelta(days=1), poor)
+    promote(spark, aliases, "m", 2, T0 + timedelta(days=2), good)
+    assert rollback(spark, aliases, "m", T0 + timedelta(days=3)) == 1
+    now = current_alias(read_table(spark, aliases, ALIAS_SCHEMA)).first()
+    assert (now["alias"], now["version"]) == ("champion", 1)
+
+
 def test_alias_as_of_history(spark):
     history = spark.createDataFrame(
         [("m", "champion", 1, datetime(2024, 1, 2, 12)), ("m", "champion", 2, datetime(2024, 1, 4)),
@@ -58,7 +76,9 @@ def test_alias_as_of_history(spark):
         datetime(2024, 1, 4): 3, datetime(2024, 1, 4, 5, 59): 3, datetime(2024, 1, 4, 6): 1,
         datetime(2025, 6, 1): 1,
     }
-    events = spark.createDataFrame([("m", "champion", t) for t in times], "name string, alias string, ts timestamp")
+    events = spark.createDataFrame(
+        [("m", "champion", t) for t in times], "name string, alias string, ts timestamp"
+    )
     got = {r["ts"]: r["version"] for r in alias_as_of(events, history, "ts").collect()}
     assert got == times
 

@@ -75,6 +75,13 @@ def test_whole_sample_drops_orphans_only(spark):
     assert got["orders"].count() == 1000 and got["items"].count() == 2990
 
 
+def test_caps_bound_a_lookup(spark):
+    got = sample_connected(
+        tables(spark), "orders", "order_id", FOLLOWS, 0.5, 3, {"sellers": (5, ["seller_id"])}
+    )
+    assert got["sellers"].count() == 5 and got["customers"].count() > 5
+
+
 @pytest.mark.parametrize("top_k_limit", [10_000, 10])
 @pytest.mark.parametrize("n", [0, 1, 37, 999, 1000, 5000])
 def test_cap_rows_is_exact_on_both_paths(spark, monkeypatch, n, top_k_limit):

@@ -7,7 +7,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from orderflow.operators.checks import duplicate_audit
-from orderflow.streaming.ingest import append_stream, ingest_landing, ingest_log, read_landing
+from orderflow.streaming.ingest import (
+    append_stream,
+    ingest_landing,
+    ingest_log,
+    parse_entries,
+    read_landing,
+)
 from orderflow.streaming.monitors import stream_label_join, stream_positive_rate
 from orderflow.streaming.scoring import current_predictions, score_stream
 
@@ -51,6 +57,12 @@ def test_log_drops_repeats_across_restarts(spark, tmp_path):
     assert run() == [1, 2, 3]
 
 
+def test_entries_of_a_message_bus_are_parsed(spark):
+    raw = spark.createDataFrame([(b'{"event_id": 7, "y": 1}',), (b"broken",)], "value binary")
+    rows = parse_entries(raw, struct(spark, "event_id long, y int")).collect()
+    assert [(r["event_id"], r["y"]) for r in rows] == [(7, 1), (None, None)]
+
+
 def test_late_rows_are_dropped_and_days_close(spark, tmp_path):
     landing, cursor, out = (str(tmp_path / n) for n in ("landing", "cursor", "out"))
 
