@@ -21,7 +21,7 @@ def cases():
         yield pytest.param(name, marks=marks)
 
 
-@pytest.mark.parametrize("name", cases())
+@pytest.mark.parametrize("name", list(cases()))
 def test_matches_sql(spark, con, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     rows = df.collect()
