@@ -140,11 +140,11 @@ def train(
     The training columns are written once, placed and sorted by key: every
     later pass of the optimizer reads that table instead of recomputing the
     mart, a lost executor rereads its part, and reruns see the same order.
+    AQE sets the number of parts by their size.
     """
     shared_dir(df.sparkSession)  # tree nodes are checkpointed there
     rows = df.where(F.col(label).isNotNull()).select(key, label, *spec.columns)
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartition(width, key).sortWithinPartitions(key)
+    placed = rows.repartition(F.col(key)).sortWithinPartitions(key)
     table = materialize(placed, "training")
     return build_pipeline(kind, spec, label, params, seed).fit(with_class_weights(table, label))
 
