@@ -122,6 +122,13 @@ class Words:
             total += self.hashes[lane][j : n - k + 1 + j] * w
         return at, mix(total[at])
 
+    def hash_at(self, first: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
+        """Hash of the `k` words from each word in `first`; the lanes are independent of one another."""
+        total = np.zeros(len(first), _U)
+        for j, w in enumerate(_weights(k, lane)):
+            total += self.hashes[0][first + j] * w
+        return mix(total)
+
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Row and hash of each distinct `k`-word shingle, sorted; shorter rows give their whole sequence as one."""
         at, h = self.grams(k)
