@@ -316,7 +316,7 @@ class JaccardJoin:
         return self._group_pairs().mapInArrow(_verify(self.percent, True), "a long, b long, common long, together long")
 
     def per_document(self) -> DataFrame:
-        """Each row's `id`, `key` (md5 of the text), `size` of its set, `cls`, number of `links` and smallest id that links reach (`component_id`)."""
+        """Each row's `id`, `key` (md5 of the text), `size` of its set, `cls`, number of `links`, component (`root`) and the smallest id in it (`component_id`)."""
         links = materialize(
             self._group_pairs().mapInArrow(_verify(self.percent, False), "cls long, root long, links long"), "jaccard-links"
         )
@@ -334,12 +334,13 @@ class JaccardJoin:
             "jaccard-roots",
         )
         first = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-        found = materialize(known.join(first, "root").select("cls", "links", "component_id"), "jaccard-known")
+        found = materialize(known.join(first, "root").select("cls", "links", "root", "component_id"), "jaccard-known")
         return self.members.select("id", "key", "size", "cls").join(found, "cls", "left").select(
             "id",
             "key",
             "size",
             "cls",
             F.coalesce("links", F.lit(0)).alias("links"),
+            "root",
             F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         )

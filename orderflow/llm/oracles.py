@@ -4,6 +4,74 @@ from __future__ import annotations
 
 #: Text with A-Z in lower case.
 _LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+
+def _hex(text: str, first: int, digits: int) -> str:
+    return f"('0x' || substr(md5({text}), {first}, {digits}))::BIGINT"
+
+
+_CHAT = rf"""
+WITH RECURSIVE calls AS (
+  SELECT conv_id, 'call_' || turn AS id, turn, text, len({_WORDS}) AS words,
+    turn % 2 + 2 * ((turn - turn % 2) // 4) AS middle
+  FROM conversations WHERE role = 'user'
+), named AS (
+  SELECT *, CASE WHEN words <= 25 THEN 'search' ELSE 'summarise' END AS name FROM calls
+), chain AS (
+  SELECT conv_id, turn, 0 AS level FROM calls c
+  WHERE middle >= turn OR NOT EXISTS (SELECT 1 FROM calls o WHERE o.conv_id = c.conv_id AND o.turn = c.middle)
+  UNION ALL
+  SELECT c.conv_id, c.turn, chain.level + 1 FROM chain JOIN calls c
+    ON c.conv_id = chain.conv_id AND c.middle = chain.turn AND c.middle < c.turn
+), answers AS (
+  SELECT conv_id, 'call_' || (turn - 1) AS id, min(turn) AS answered, count(*) AS n_results, min_by(text, turn) AS content
+  FROM conversations WHERE role = 'assistant' GROUP BY ALL
+), linked AS (
+  SELECT coalesce(n.conv_id, a.conv_id) AS conv_id, coalesce(n.id, a.id) AS id, coalesce(n.turn, a.answered) AS turn, chain.level, n.name,
+    coalesce(a.n_results, 0) AS n_results, n.words, n.text, a.content, n.id IS NOT NULL AS is_call, a.id IS NOT NULL AS has_result, n.turn AS called,
+    n.middle < n.turn AND NOT EXISTS (SELECT 1 FROM calls o WHERE o.conv_id = n.conv_id AND o.turn = n.middle) AS dangling
+  FROM named n FULL JOIN answers a ON n.conv_id = a.conv_id AND n.id = a.id
+  LEFT JOIN chain ON chain.conv_id = n.conv_id AND chain.turn = n.turn
+)
+SELECT conv_id, id AS call_id, turn, level::BIGINT AS level, name, n_results::BIGINT AS n_results,
+  concat_ws('; ',
+    CASE WHEN NOT is_call THEN 'no call' END,
+    CASE WHEN is_call AND NOT has_result THEN 'no result' END,
+    CASE WHEN dangling THEN 'waits for no call' END,
+    CASE WHEN name = 'summarise' AND words % 2 = 1 THEN 'missing limit' END,
+    CASE WHEN name = 'search' AND words % 2 = 0 THEN 'unknown limit' END) AS errors,
+  json_object(
+    'arguments', CASE WHEN NOT is_call THEN NULL WHEN words % 2 = 0 THEN json_object('limit', called, 'query', text, 'words', words)
+      ELSE json_object('query', text, 'words', words) END,
+    'conversation', conv_id, 'id', id, 'level', level, 'name', name, 'result', content)::VARCHAR AS json
+FROM linked
+"""
+
+_CONTAMINATION = rf"""
+WITH worded AS (
+  SELECT doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+    unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i+9], ' '))) AS g
+  FROM items WHERE len(w) > 0
+), spans AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM worded, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+), hits AS (
+  SELECT s.doc_id, s.i, s.n, x.item_id FROM (SELECT doc_id, n, i, array_to_string(w[i:i+n-1], ' ') AS g FROM spans) s
+  JOIN windows x ON s.n = x.n AND s.g = x.g
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(len(d.w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM worded d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
 
 _JACCARD = rf"""
 WITH RECURSIVE worded AS (
@@ -12,7 +80,7 @@ WITH RECURSIVE worded AS (
   SELECT doc_id, CASE
     WHEN w IS NULL OR len(w) = 0 THEN []
     WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i+2], ' ')))
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' ')))
   END AS s FROM worded
 ), flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
 ), links AS (
@@ -28,6 +96,101 @@ FROM sets JOIN reach ON sets.doc_id = reach.a LEFT JOIN counted ON counted.a = s
 GROUP BY sets.doc_id, len(s)
 """
 
+_MIXTURE = rf"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(len({_WORDS}), 0)::BIGINT AS size,
+    md5(concat_ws(':', '7', coalesce(doc_id::VARCHAR, ''), coalesce(md5(text), ''))) AS tie FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n,
+    [5, 2, 1][(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM docs GROUP BY source
+), caps AS (
+  SELECT *, 2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS pool FROM sources
+), levels AS (
+  SELECT *, (pool - coalesce(sum(cap) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM caps WINDOW f AS (ORDER BY cap / weight, source ASC NULLS LAST)
+), aims AS (
+  SELECT source, source_size, n, least(cap, max(level) OVER () * weight) AS target,
+    ('0x' || substr(md5(concat_ws(':', '7', coalesce(source, ''))), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS offs FROM levels
+), rates AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size::DOUBLE END AS rate FROM aims
+), placed AS (
+  SELECT d.*, source_size, target, rate, offs, row_number() OVER (PARTITION BY d.source ORDER BY length(bin(size)),
+    ('0x' || substr(tie, 1, 8))::BIGINT % ceil(n / 20000.0)::BIGINT, size, tie) AS upto
+  FROM docs d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
+), copied AS (
+  SELECT *, least(floor(rate * upto + offs) - floor(rate * (upto - 1) + offs), ceil(rate))::BIGINT AS copies FROM placed
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM copied
+"""
+
+_SHARDS = f"""
+WITH RECURSIVE names AS (
+  SELECT s, {_hex("printf('shard-%03d/start', s)", 1, 15)} % 4099 AS a, {_hex("printf('shard-%03d/step', s)", 1, 15)} % 4098 + 1 AS b
+  FROM range(0, 32) r(s)
+), prefs AS (
+  SELECT list(list_transform(range(0, 4099), lambda j: (a + j * b) % 4099) ORDER BY s) AS p FROM names
+), fill AS (
+  SELECT 0 AS n, list_transform(range(0, 4099), lambda x: -1) AS t
+  UNION ALL
+  SELECT n + 1, list_concat(list_concat(t[:slot], [n % 32]), t[slot+2:]) FROM (
+    SELECT n, t, list_filter(p[n % 32 + 1], lambda j: t[j + 1] < 0)[1] AS slot FROM fill, prefs WHERE n < 4099)
+), slots AS (
+  SELECT unnest(range(0, 4099)) AS slot, unnest(t) AS shard FROM fill WHERE n = 4099
+)
+SELECT doc_id, slot::BIGINT AS slot, shard::BIGINT AS shard
+FROM (SELECT doc_id, {_hex("coalesce(doc_id::VARCHAR, md5(text), '')", 1, 15)} % 4099 AS slot FROM documents) JOIN slots USING (slot)
+"""
+
+_URLS = rf"""
+WITH pages_ AS (
+  SELECT page_id, nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.$', ''), '') AS host,
+    DATE '2024-01-01' + ({_hex("page_id::VARCHAR", 1, 6)} % 366)::INT AS fetched FROM pages
+), hosts AS (
+  SELECT host, string_split(host, '.') AS parts, {_hex("host", 1, 4)} % 10 AS pick, {_hex("host", 5, 4)} % 3 AS above,
+    DATE '2024-01-01' + ({_hex("host", 9, 4)} % 300)::INT AS start, {_hex("host", 13, 4)} % 3 AS list, {_hex("host", 17, 4)} % 5 AS kind,
+    ({_hex("host", 21, 4)} % 90)::INT AS days
+  FROM (SELECT DISTINCT host FROM pages_ WHERE host IS NOT NULL)
+), entries AS (
+  SELECT ['adult', 'malware', 'spam'][list + 1] AS list, CASE WHEN kind = 0 THEN 'allow' ELSE 'block' END AS kind,
+    CASE WHEN above = 0 AND len(parts) >= 4 THEN array_to_string(parts[2:], '.') ELSE host END AS pattern,
+    unnest([{{'add': true, 'day': start}}, {{'add': false, 'day': start + days}}, {{'add': true, 'day': start + days + 30}}]) AS step
+  FROM hosts WHERE pick < 5
+), days AS (
+  SELECT list, kind, pattern, step.day AS day, bool_and(step.add) AS active FROM entries GROUP BY ALL
+), changes AS (
+  SELECT * FROM (SELECT *, coalesce(lag(active) OVER (PARTITION BY list, kind, pattern ORDER BY day), false) AS was FROM days) WHERE active <> was
+), valid AS (
+  SELECT * FROM (SELECT *, lead(day) OVER (PARTITION BY list, kind, pattern ORDER BY day) AS until FROM changes) WHERE active
+), matched AS (
+  SELECT p.page_id, v.list, v.kind, v.pattern, v.day,
+    count(*) OVER (PARTITION BY p.page_id) AS n_active,
+    row_number() OVER (PARTITION BY p.page_id ORDER BY length(v.pattern) DESC, v.kind, v.list) AS place
+  FROM pages_ p JOIN valid v ON (p.host = v.pattern OR ends_with(p.host, '.' || v.pattern))
+    AND p.fetched >= v.day AND (v.until IS NULL OR p.fetched < v.until)
+)
+SELECT p.page_id, p.host, strftime(p.fetched, '%Y-%m-%d') AS fetched, coalesce(n_active, 0)::BIGINT AS n_active, coalesce(kind = 'block', false) AS blocked,
+  list, pattern, strftime(day, '%Y-%m-%d') AS valid_from
+FROM pages_ p LEFT JOIN (SELECT * FROM matched WHERE place = 1) m USING (page_id)
+"""
+
+_TOPK = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
+"""
+
 ORACLES = {
+    "op2_chat_calls": _CHAT,
+    "op3_decontamination": _CONTAMINATION,
     "op4_jaccard_join": _JACCARD,
+    "op6_mixture": _MIXTURE,
+    "op7_shards": _SHARDS,
+    "op9_url_filter": _URLS,
+    "op10_topk": _TOPK,
 }
