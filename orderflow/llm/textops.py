@@ -8,7 +8,6 @@ of rows, so memory follows the longest single text by its words.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +38,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    def run(step: int) -> np.ndarray:
-        steps = np.full(n, step, dtype=_U)
-        steps[0] = 1
-        return np.multiply.accumulate(steps)
+class Cache(dict):
+    """Values worked out once a task; travels empty."""
+
+    def __reduce__(self):
+        return Cache, ()
+
 
-    return run(base), run(pow(base, -1, 1 << 64))
+_POWERS = Cache()
+
+
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of `base` and of its inverse modulo 2^64."""
+    if (base, n) not in _POWERS:
+        _POWERS.clear() if len(_POWERS) > 4 else None
+        found = []
+        for step in (base, pow(base, -1, 1 << 64)):
+            steps = np.full(n, step, dtype=_U)
+            steps[0] = 1
+            found.append(np.multiply.accumulate(steps))
+        _POWERS[base, n] = tuple(found)
+    return _POWERS[base, n]
 
 
-@lru_cache(maxsize=64)
 def _weights(n: int, lane: int) -> np.ndarray:
     seeds = np.arange(1, n + 1, dtype=_U) + _U(1000 * n + 77_777 * (lane + 1))
     return mix(seeds * _U(_BASES[lane])) | _U(1)
