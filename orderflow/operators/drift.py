@@ -96,7 +96,7 @@ def psi(base: DataFrame, cur: DataFrame, edges: Mapping[str, Sequence[float]]) -
 
 def _share(count: str, total: str):
     """Share of a bin, floored; NULL when the sample has no rows at all."""
-    return F.greatest(F.col(count) / F.nullif(F.col(total), F.lit(0)), F.lit(SHARE_FLOOR))
+    return F.when(F.col(total) > 0, F.greatest(F.col(count) / F.col(total), F.lit(SHARE_FLOOR)))
 
 
 def ks(base: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -162,18 +162,21 @@ def drift_checks(statistics: DataFrame, limits: DataFrame) -> DataFrame:
 
     `statistics`: (check, subject, observed). `limits`: (check, warn, error),
     one row per kind of check. A statistic above `error` is an ERROR, above
-    `warn` a WARN; without a value the check has nothing to object to.
+    `warn` a WARN. A statistic without a value, or of a check without limits, is an ERROR.
     """
     observed, warn, error = F.col("observed"), F.col("warn"), F.col("error")
-    severity = F.when(observed > error, "ERROR").when(observed > warn, "WARN").otherwise("OK")
-    return statistics.join(limits, "check").select(
+    unknown = observed.isNull() | F.isnan(observed.cast("double")) | warn.isNull() | error.isNull()
+    severity = (
+        F.when(unknown | (observed > error), "ERROR").when(observed > warn, "WARN").otherwise("OK")
+    )
+    return statistics.join(limits, "check", "left").select(
         "check",
         "subject",
         F.lit("monitoring").alias("stage"),
         severity.alias("severity"),
         (severity == "OK").alias("passed"),
         observed,
-        F.when(observed > error, error).otherwise(warn).alias("threshold"),
+        F.when(unknown | (observed > error), error).otherwise(warn).alias("threshold"),
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,9 +34,12 @@ ALIAS_SCHEMA = T.StructType(
         T.StructField("alias", T.StringType()),
         T.StructField("version", T.LongType()),
         T.StructField("valid_from", T.TimestampType()),
+        T.StructField("kind", T.StringType()),
     ]
 )
 
+ROLLBACK = "rollback"
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """An append-only registry table; empty while nothing was written."""
@@ -80,6 +85,20 @@ def resolve_versions(versions: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
+def config_hash(params: Mapping[str, object]) -> str:
+    """Hash of the parameters of a run, whatever their order."""
+    return hashlib.md5(json.dumps(dict(params), sort_keys=True).encode()).hexdigest()
+
+
+def code_hash() -> str:
+    """Hash of the names and texts of the library's modules."""
+    root = Path(__file__).resolve().parent.parent
+    digest = hashlib.sha256()
+    for path in sorted(root.rglob("*.py")):
+        digest.update(str(path.relative_to(root)).encode() + b"\0" + path.read_bytes() + b"\0")
+    return digest.hexdigest()
+
+
 def register_version(spark: SparkSession, path: str, name: str, fingerprint: str,
                      model_path: str, created_at: datetime, tags: Mapping[str, str] | None = None
                      ) -> tuple[int, bool]:
@@ -105,9 +124,9 @@ def register_version(spark: SparkSession, path: str, name: str, fingerprint: str
 
 
 def set_alias(spark: SparkSession, path: str, name: str, alias: str, version: int,
-              at: datetime) -> None:
-    """Point an alias at a version from `at` on; promoting and rolling back are the same step."""
-    row = spark.createDataFrame([(name, alias, version, at)], ALIAS_SCHEMA)
+              at: datetime, kind: str = "set") -> None:
+    """Point an alias at a version from `at` on; `kind` tells a rollback from other switches."""
+    row = spark.createDataFrame([(name, alias, version, at, kind)], ALIAS_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(path)
 
 
@@ -120,30 +139,58 @@ def promote(spark: SparkSession, path: str, name: str, version: int, at: datetim
 
 
 def rollback(spark: SparkSession, path: str, name: str, at: datetime) -> int:
-    """Point the champion back at the version it held before the current one; nothing is refitted."""
+    """Point the champion back at the version that was promoted before the current one.
+
+    Nothing is refitted. A version once withdrawn stays withdrawn: the next rollback
+    goes one promotion further back.
+    """
     history = read_table(spark, path, ALIAS_SCHEMA).where(
         (F.col("name") == name) & (F.col("alias") == CHAMPION)
     )
-    now = current_alias(history).first()
-    earlier = None if now is None else latest_by(
-        history.where(F.col("version") != now["version"]), ["name", "alias"], "valid_from"
-    ).first()
-    if earlier is None:
+    stack = promotions(history, at).first()
+    if stack is None or len(stack["versions"]) < 2:
         raise LookupError(f"{name!r} had no other champion before")
-    version = earlier["version"]
-    set_alias(spark, path, name, CHAMPION, version, at)
+    version = stack["versions"][-2]
+    set_alias(spark, path, name, CHAMPION, version, at, ROLLBACK)
     return version
 
 
-def current_alias(history: DataFrame) -> DataFrame:
-    """The version every (name, alias) points at now."""
-    return latest_by(history, ["name", "alias"], "valid_from", ["version"])
+def promotions(history: DataFrame, at: datetime) -> DataFrame:
+    """(name, alias, versions): the promotions in force at `at`, the last one current.
+
+    A switch adds its version unless it is the current one, a rollback takes the
+    last one off. An alias has as many switches as there were decisions.
+    """
+    steps = (
+        history.where(F.col("valid_from") <= F.lit(at))
+        .groupBy("name", "alias")
+        .agg(F.array_sort(F.collect_list(F.struct("valid_from", "version", "kind"))).alias("steps"))
+    )
+
+    def follow(stack, step):
+        back = F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0)))
+        same = F.coalesce(F.try_element_at(stack, F.lit(-1)) == step["version"], F.lit(False))
+        more = F.when(same, stack).otherwise(F.concat(stack, F.array(step["version"])))
+        return F.when(step["kind"] == ROLLBACK, back).otherwise(more)
+
+    nothing = F.array().cast("array<bigint>")
+    return steps.select("name", "alias", F.aggregate("steps", nothing, follow).alias("versions"))
 
 
-def model_path_of(versions: DataFrame, history: DataFrame, name: str, alias: str
-                  ) -> tuple[int, str]:
+def current_alias(history: DataFrame, at: datetime | None = None) -> DataFrame:
+    """The version every (name, alias) points at `at`, by default now; later switches wait."""
+    until = F.current_timestamp() if at is None else F.lit(at)
+    return latest_by(
+        history.where(F.col("valid_from") <= until), ["name", "alias"], "valid_from", ["version"]
+    )
+
+
+def model_path_of(versions: DataFrame, history: DataFrame, name: str, alias: str,
+                  at: datetime | None = None) -> tuple[int, str]:
     """(version, path) behind an alias; never simply the newest version."""
-    pointer = current_alias(history.where((F.col("name") == name) & (F.col("alias") == alias)))
+    pointer = current_alias(
+        history.where((F.col("name") == name) & (F.col("alias") == alias)), at
+    )
     row = pointer.join(versions, ["name", "version"]).select("version", "model_path").first()
     if row is None:
         raise LookupError(f"no version of {name!r} behind alias {alias!r}")

@@ -10,18 +10,22 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.hashing import text_key, unit_hash
 
-_TOP_K_LIMIT = 10_000
-_CAP_SLOTS = 4096
+#: Rows of a hash slot, about; the slot that crosses a cap is ranked by one task.
+SLOT_ROWS = 50_000
 
 
 @dataclass(frozen=True)
 class Follow:
-    """`table` keeps the rows whose `key` occurs as `parent_key` in the sampled `parent`."""
+    """`table` keeps the rows whose `key` occurs as `parent_key` in the sampled `parent`.
+
+    `optional`: the parent copes with rows that are missing in `table`, a mere lookup.
+    """
 
     table: str
     key: str
     parent: str
     parent_key: str
+    optional: bool = False
 
 
 def semi_on(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -45,9 +49,15 @@ def sample_connected(
     several of them keeps a row when any one matches. Tables that carry the
     root key are hash-filtered at their scan before the semi join, so only
     about `sample_frac` of them is shuffled. `caps` bounds lookup tables:
-    (rows, key columns) by table name, applied after the keys were followed.
+    (rows, key columns) by table name, applied after the keys were followed. A cap
+    on a table that others refer to or lead on from would break the sample's keys and
+    is refused; only tables whose every relation is `optional` take one.
     """
     limits = caps or {}
+    for table in limits:
+        mine = [f for f in follows if f.table == table]
+        if table == root or not all(f.optional for f in mine) or any(f.parent == table for f in follows):
+            raise ValueError(f"a cap on {table!r} would leave rows without their key")
 
     def kept(df: DataFrame, key: str) -> DataFrame:
         return df.where(unit_hash(key, "sample", seed) < sample_frac)
@@ -81,31 +91,39 @@ def sample_connected(
     return sampled
 
 
+def orphans(
+    tables: Mapping[str, DataFrame], sampled: Mapping[str, DataFrame], follows: Sequence[Follow]
+) -> DataFrame:
+    """(relation, n_orphans): rows of each sampled parent whose row in `table` exists but was not kept."""
+    found = None
+    for f in follows:
+        parent = sampled[f.parent].where(F.col(f.parent_key).isNotNull())
+        keys = [df.select(F.col(f.key).alias("_key")).distinct() for df in (tables[f.table], sampled[f.table])]
+        wanted = parent.join(keys[0], parent[f.parent_key] == F.col("_key"), "left_semi")
+        missing = wanted.join(keys[1], wanted[f.parent_key] == F.col("_key"), "left_anti")
+        row = missing.agg(F.count("*").alias("n_orphans")).select(
+            F.lit(f"{f.parent}.{f.parent_key}->{f.table}").alias("relation"), "n_orphans"
+        )
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def cap_rows(df: DataFrame, n: int, key_cols: Sequence[str], seed: int) -> DataFrame:
     """Exactly min(n, rows) rows, the first ones in the order of (hash, key).
 
-    A small cap is a top-k. A large one would end in one task, so the rows
-    are cut into hash slots: whole slots below the cap are kept as they are
-    and only the slot that crosses it is ranked.
+    The rows are cut into hash slots, as many as their number asks for: whole slots
+    below the cap are kept as they are and only the slot that crosses it is ranked.
     """
     hashed = df.withColumn("_u", unit_hash(text_key(*key_cols), "cap", seed))
+    slots = max(1, -(-df.count() // SLOT_ROWS))
+    hashed = hashed.withColumn("_slot", F.floor(F.col("_u") * slots))
+    upto = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = hashed.groupBy("_slot").count().withColumn("upto", F.sum("count").over(upto))
+    crossing = sizes.where(F.col("upto") > n).orderBy("_slot").limit(1).collect()  # one row
+    if not crossing:
+        return df
+    slot, room = crossing[0]["_slot"], n - (crossing[0]["upto"] - crossing[0]["count"])
     order = [F.col("_u"), *[F.col(c) for c in key_cols]]
-    if n <= _TOP_K_LIMIT:
-        return hashed.orderBy(*order).limit(n).drop("_u")
-
-    hashed = hashed.withColumn("_slot", F.floor(F.col("_u") * _CAP_SLOTS).cast("int"))
-    sizes = hashed.groupBy("_slot").count().orderBy("_slot").collect()  # at most _CAP_SLOTS rows
-    before = 0
-    for row in sizes:
-        if before + row["count"] > n:
-            whole = hashed.where(F.col("_slot") < row["_slot"])
-            rank = F.row_number().over(Window.partitionBy("_slot").orderBy(*order))
-            partial = (
-                hashed.where(F.col("_slot") == row["_slot"])
-                .withColumn("_rank", rank)
-                .where(F.col("_rank") <= n - before)
-                .drop("_rank")
-            )
-            return whole.unionByName(partial).drop("_u", "_slot")
-        before += row["count"]
-    return df
+    rank = F.row_number().over(Window.partitionBy("_slot").orderBy(*order))
+    partial = hashed.where(F.col("_slot") == slot).withColumn("_rank", rank).where(F.col("_rank") <= room)
+    return hashed.where(F.col("_slot") < slot).unionByName(partial.drop("_rank")).drop("_u", "_slot")

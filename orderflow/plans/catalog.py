@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.functions.dates import month_of
-from orderflow.functions.labels import late_label
+from orderflow.functions.labels import label_known_at, late_label, settled_label
 from orderflow.operators.checks import (
     AcceptedValues,
     NotNull,
@@ -30,6 +30,7 @@ from orderflow.operators.checks import (
 from orderflow.operators.drift import (
     bin_edges,
     drift_checks,
+    edges_map,
     feature_skew,
     ks,
     prediction_monitoring,
@@ -42,12 +43,17 @@ from orderflow.operators.gates import calibrate_threshold, champion_gate, qualit
 from orderflow.operators.lookup import with_lookup
 from orderflow.operators.metrics import evaluate, positive_rate, pr_auc, roc_auc, roc_curve
 from orderflow.operators.registry import (
+    ALIAS_SCHEMA,
+    CHAMPION,
     alias_as_of,
     current_alias,
     new_versions,
+    promote,
+    read_table,
     resolve_versions,
+    rollback,
 )
-from orderflow.operators.sampling import Follow, cap_rows, sample_connected
+from orderflow.operators.sampling import Follow, cap_rows, orphans, sample_connected
 from orderflow.operators.staging import Field, cast_failures, stage
 from orderflow.operators.training import leakage_scan
 from orderflow.operators.windows import (
@@ -60,8 +66,10 @@ from orderflow.operators.windows import (
     window_bounds,
 )
 from orderflow.plans.mart import (
+    FEATURES,
     LABEL,
     build_layers,
+    feature_spec,
     inference_mart,
     mart_order_features,
     order_features,
@@ -80,12 +88,9 @@ SEEDS = (1, 2, 3, 4, 5)
 TODAY = date(1999, 6, 30)
 LAG_DAYS = 1000
 CUTOFF = date(1998, 1, 1)
-PSI_EDGES = {
-    "n_items": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0],
-    "avg_price": [10000.0, 20000.0, 30000.0, 40000.0, 50000.0, 60000.0],
-    "customer_acctbal": [0.0, 2000.0, 4000.0, 6000.0, 8000.0],
-    "month_index": [23940.0, 23952.0, 23964.0, 23976.0, 23988.0, 24000.0],
-}
+NUMERIC = feature_spec().numeric
+#: Finer than one row of the tables here, so that the edges are the exact quantiles.
+EDGE_ACCURACY = 1_000_000
 SCORE_EDGES = [20.0, 40.0, 60.0, 80.0, 100.0, 120.0]
 SCORE_CUTOFF = 100.0
 DRIFT_LIMITS = [("psi", 0.1, 0.25), ("positive_rate", 0.02, 0.05)]
@@ -289,14 +294,23 @@ FOLLOWS = (
 )
 
 
-def connected_sample(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def sample_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     tables = load_roles(spark, sf_dir).as_dict()
     tables["nations"] = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("nation_id"), "n_name"
     )
-    return sample_connected(
-        tables, "orders", "order_id", FOLLOWS, SAMPLE_FRAC, SEED, {"products": (50, ["product_id"])}
-    )
+    return tables
+
+
+def connected_sample(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    tables = sample_sources(spark, sf_dir)
+    return sample_connected(tables, "orders", "order_id", FOLLOWS, SAMPLE_FRAC, SEED)
+
+
+def sample_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the sample that lost a row they refer to, by relation: none may."""
+    tables = sample_sources(spark, sf_dir)
+    return orphans(tables, connected_sample(spark, sf_dir), FOLLOWS)
 
 
 SAMPLE_KEYS = {
@@ -441,10 +455,7 @@ def roc_curve_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roc_curve(events_of(spark, sf_dir), "value", "label", 20, ["event_type"])
 
 
-LEAKAGE_COLUMNS = (
-    "n_items", "sum_price", "max_price", "month_index", "purchase_dow", "customer_acctbal",
-    "delivery_days",
-)
+LEAKAGE_COLUMNS = (*NUMERIC, "delivery_days")
 
 
 def leakage_scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,18 +472,23 @@ def leakage_scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- drift --------------------------------------------------------------
 
 
-def psi_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feature_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PSI of every numeric feature, with the deciles of the earlier sample as bins."""
     base, cur = time_split(features_layer(spark, sf_dir), "purchase_date", CUTOFF)
-    return psi(base, cur, PSI_EDGES)
+    return psi(base, cur, edges_map(bin_edges(base, NUMERIC, accuracy=EDGE_ACCURACY)))
+
+
+def psi_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feature_stability(spark, sf_dir)
 
 
 def ks_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, cur = time_split(features_layer(spark, sf_dir), "purchase_date", CUTOFF)
-    return ks(base, cur, ["n_items", "sum_price", "avg_discount", "month_index"])
+    return ks(base, cur, NUMERIC)
 
 
 def bin_edges_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = bin_edges(features_layer(spark, sf_dir), ["n_items", "sum_price", "customer_acctbal"])
+    edges = bin_edges(features_layer(spark, sf_dir), NUMERIC, accuracy=EDGE_ACCURACY)
     return edges.select("feature", F.posexplode("edges").alias("position", "edge"))
 
 
@@ -485,11 +501,10 @@ def feature_skew_served(spark: SparkSession, sf_dir: str) -> DataFrame:
             "avg_price": F.floor("avg_price").cast("double"),
         }
     )
-    cols = ["n_items", "avg_price", "seller_late_rate_before", "customer_segment"]
-    return feature_skew(served, rows, "order_id", cols)
+    return feature_skew(served, rows, "order_id", FEATURES)
 
 
-def drift_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drift_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = features_layer(spark, sf_dir)
     base, cur = time_split(features, "purchase_date", CUTOFF)
     shifted = rate_shift(base, cur, LABEL).select(
@@ -497,8 +512,8 @@ def drift_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(LABEL).alias("subject"),
         F.col("shift").alias("observed"),
     )
-    statistics = (
-        psi(base, cur, PSI_EDGES)
+    return (
+        feature_stability(spark, sf_dir)
         .select(
             F.lit("psi").alias("check"),
             F.col("feature").alias("subject"),
@@ -506,8 +521,17 @@ def drift_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .unionByName(shifted)
     )
+
+
+def drift_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = spark.createDataFrame(DRIFT_LIMITS, "check string, warn double, error double")
-    return drift_checks(statistics, limits)
+    return drift_checks(drift_statistics(spark, sf_dir), limits)
+
+
+def drift_checks_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without limits for the positive rate, its check fails."""
+    limits = spark.createDataFrame(DRIFT_LIMITS[:1], "check string, warn double, error double")
+    return drift_checks(drift_statistics(spark, sf_dir), limits)
 
 
 def prediction_monitoring_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,6 +561,14 @@ def champion_gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return champion_gate(holdout, "score", "champion_score", LABEL, 0.60, 0.01)
 
 
+def champion_gate_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A champion that scored no order of more than four items."""
+    _, holdout = hash_split(scored_orders(spark, sf_dir), "order_id", SEED, TEST_FRAC)
+    known = F.when(F.col("champion_score") - F.col("score") <= 40, F.col("champion_score"))
+    rows = holdout.withColumn("champion_score", known)
+    return champion_gate(rows, "score", "champion_score", LABEL, 0.60, 0.01)
+
+
 # --- registry -----------------------------------------------------------
 
 
@@ -570,19 +602,21 @@ def register_version_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alias_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event type a promotion with the first event of each week, and a rollback in week 4."""
+    """Per event type a promotion at noon of each week's first day, and version 2 again in week 4.
+
+    Events of the first morning come before every switch.
+    """
     events = events_of(spark, sf_dir)
     week = F.weekofyear("ts")
     return (
         events.groupBy(F.col("event_type").alias("name"), week.alias("week"))
-        .agg(F.min("ts").alias("valid_from"))
+        .agg((F.date_trunc("day", F.min("ts")) + F.expr("INTERVAL 12 HOURS")).alias("valid_from"))
         .select(
             "name",
             F.lit("champion").alias("alias"),
             F.when(F.col("week") == 4, 2).otherwise(F.col("week")).cast("long").alias("version"),
             "valid_from",
         )
-        .where(F.col("version") >= 2)
     )
 
 
@@ -597,6 +631,18 @@ def current_alias_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_alias(alias_history(spark, sf_dir))
 
 
+def rollback_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A promotion for every year of orders, then two rollbacks: each goes one promotion further back."""
+    years = load_roles(spark, sf_dir).orders.select(F.year("purchase_ts").alias("year")).distinct()
+    path = run_dir(spark, "rollbacks")
+    known = sorted(row["year"] for row in years.collect())  # bounded by the calendar
+    for version, year in enumerate(known, 1):
+        promote(spark, path, "late_delivery", version, datetime(year, 12, 31))
+    for day in (1, 2):
+        rollback(spark, path, "late_delivery", datetime(known[-1] + 1, 1, day))
+    return read_table(spark, path, ALIAS_SCHEMA).where(F.col("alias") == CHAMPION)
+
+
 def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_by(events_of(spark, sf_dir), ["user_id"], "ts", ["event_id"])
 
@@ -610,26 +656,34 @@ def formula_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.select(
         "order_id",
         F.col("purchase_date").alias("day"),
+        "month",
         F.when(F.year("purchase_date") < 1997, 1).otherwise(2).cast("long").alias("model_version"),
         (24100 - F.col("month_index") - 10 * F.col("n_items")).alias("score"),
     )
 
 
+def settled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lateness of all orders and when it was settled: by delivery or by the promise, whichever came first."""
+    return load_roles(spark, sf_dir).orders.select(
+        "order_id", label_known_at().alias("known_at"), settled_label().alias(LABEL)
+    )
+
+
 def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_label_join(
         formula_predictions(spark, sf_dir),
-        labelled_orders(spark, sf_dir),
+        settled_orders(spark, sf_dir),
         "order_id",
         LABEL,
         LAG_DAYS,
         TODAY,
-        known_at="delivered_at",
+        known_at="known_at",
+        month_col="month",
     )
 
 
 def performance_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = late_labels(spark, sf_dir).withColumn("month", month_of("day"))
-    return model_performance(rows, LABEL, by=["month", "model_version"])
+    return model_performance(late_labels(spark, sf_dir), LABEL, by=["month", "model_version"])
 
 
 def daily_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -657,6 +711,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "training_window": training_window_rows,
     "training_dataset": training_dataset_rows,
     "sample_connected_counts": sample_connected_counts,
+    "sample_orphans": sample_orphans,
     "cap_rows": cap_rows_small,
     "cap_rows_large": cap_rows_large,
     "dq_checks": dq_checks,
@@ -680,13 +735,16 @@ BATCH_QUERIES: dict[str, Query] = {
     "bin_edges": bin_edges_features,
     "feature_skew": feature_skew_served,
     "drift_checks": drift_check_rows,
+    "drift_checks_gaps": drift_checks_gaps,
     "prediction_monitoring": prediction_monitoring_rows,
     "threshold_calibration": threshold_calibration,
     "quality_gate": quality_gate_rows,
     "champion_gate": champion_gate_rows,
+    "champion_gate_gaps": champion_gate_gaps,
     "register_version": register_version_rows,
     "alias_as_of": alias_as_of_events,
     "current_alias": current_alias_rows,
+    "rollback_history": rollback_history,
     "latest_by": latest_events,
     "late_label_join": late_labels,
     "model_performance": performance_by_month,

@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.operators.fingerprint import changed_partitions, dataset_fingerprint
-from orderflow.operators.gates import champion_gate, quality_gate
-from orderflow.operators.registry import current_alias, promote, register_version, set_alias
+from orderflow.operators.gates import champion_gate
+from orderflow.operators.registry import (
+    code_hash,
+    config_hash,
+    current_alias,
+    promote,
+    register_version,
+    set_alias,
+)
 from orderflow.operators.scoring import (
     Registry,
     backfill,
+    candidate_gate,
     day_range,
     read_predictions,
     score_changed,
@@ -45,7 +53,6 @@ from orderflow.workspace import materialize, run_dir
 
 KEY = "order_id"
 MODEL_NAME = "late_delivery"
-GBT_PARAMS = {"maxIter": 10, "maxDepth": 4}
 CREATED = datetime(2002, 1, 1)
 
 def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +76,7 @@ def time_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit_gbt(rows: DataFrame, spec: FeatureSpec) -> PipelineModel:
-    return train(rows, "gbt", spec, LABEL, KEY, GBT_PARAMS, SEED)
+    return train(rows, "gbt", spec, LABEL, KEY, seed=SEED)
 
 
 def fit_logreg(rows: DataFrame, spec: FeatureSpec) -> PipelineModel:
@@ -99,7 +106,7 @@ def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compare_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     datasets = {"hash": hash_dataset(spark, sf_dir), "time": time_dataset(spark, sf_dir)}
-    return compare_splits(datasets, fit_logreg, feature_spec(), LABEL)
+    return compare_splits(datasets, fit_gbt, feature_spec(), LABEL)
 
 
 def calibrate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,17 +141,18 @@ def publish(spark: SparkSession, sf_dir: str) -> Registry:
         test_frac=TEST_FRAC,
     )
     rows, holdout = parts(dataset)
-    params = {"model": "logreg", "seed": SEED, **bounds.tags()}
+    params = {"model": "gbt", "seed": SEED, **bounds.tags()}
+    tags = {**bounds.tags(), "config": config_hash(params), "code": code_hash()}
     fingerprint = dataset_fingerprint(dataset, KEY, params).first()["fingerprint"]
-    model = fit_logreg(rows, feature_spec())
-    gate = quality_gate(evaluate_model(model, holdout, LABEL), 0.55, 0.10)
+    model = fit_gbt(rows, feature_spec())
+    gate = candidate_gate(spark, registry, model, holdout, LABEL, KEY, 0.60, 0.10, 0.02)
     path = f"{root}/models/{fingerprint}"
     model.write().overwrite().save(path)
     version, _ = register_version(
-        spark, registry.versions_path, MODEL_NAME, fingerprint, path, CREATED, bounds.tags()
+        spark, registry.versions_path, MODEL_NAME, fingerprint, path, CREATED, tags
     )
     again, reused = register_version(
-        spark, registry.versions_path, MODEL_NAME, fingerprint, path, CREATED, bounds.tags()
+        spark, registry.versions_path, MODEL_NAME, fingerprint, path, CREATED, tags
     )
     if not reused or again != version:
         raise RuntimeError("registering the same fingerprint twice added a version")
@@ -155,7 +163,13 @@ def publish(spark: SparkSession, sf_dir: str) -> Registry:
 
 def publish_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = publish(spark, sf_dir)
-    versions = registry.versions(spark).select("name", "version", "fingerprint", "tags")
+    versions = registry.versions(spark).select(
+        "name",
+        "version",
+        "fingerprint",
+        *[F.get_json_object("tags", f"$.{t}").alias(t) for t in ("window_start", "window_end", "config")],
+        (F.length(F.get_json_object("tags", "$.code")) == 64).alias("has_code"),
+    )
     return current_alias(registry.aliases(spark)).join(versions, ["name", "version"])
 
 

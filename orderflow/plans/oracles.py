@@ -175,22 +175,31 @@ FROM orders WHERE {condition} GROUP BY strftime(o_orderdate, '%Y-%m-%d')"""
 
 METRICS = "n_rows, n_positive, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc"
 
-PSI_BINS = {
-    "n_items": "CASE WHEN n_items IS NULL THEN -1 ELSE least(greatest(floor(n_items), 0), 9) END",
-    "avg_price": "CASE WHEN avg_price IS NULL THEN -1 "
-                 "ELSE least(greatest(floor(avg_price / 10000), 0), 6) END",
-    "customer_acctbal": "CASE WHEN customer_acctbal IS NULL THEN -1 WHEN customer_acctbal < 0 "
-                        "THEN 0 ELSE least(floor(customer_acctbal / 2000), 4) + 1 END",
-    "month_index": "CASE WHEN month_index IS NULL THEN -1 "
-                   "ELSE least(greatest(floor((month_index - 23940) / 12) + 1, 0), 6) END",
-}
-
-PSI = FEATURES + """,
-binned AS (""" + " UNION ALL ".join(
-    f"SELECT '{name}' AS feature, purchase_date >= DATE '1998-01-01' AS is_cur, {sql} AS bin "
-    "FROM feat"
-    for name, sql in PSI_BINS.items()
-) + """),
+NUMERIC = (
+    "purchase_month", "purchase_quarter", "purchase_dow", "purchase_day", "month_index",
+    "n_items", "n_products", "n_sellers", "sum_price", "avg_price", "max_price", "sum_qty",
+    "avg_discount", "sum_tax", "avg_retail_price", "max_size", "n_brands", "customer_acctbal",
+    "same_nation_share", "seller_late_rate_before",
+)
+CATEGORICAL = ("order_priority", "customer_segment")
+
+LONG = FEATURES + """,
+long AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, "
+    "purchase_date >= DATE '1998-01-01' AS is_cur FROM feat"
+    for c in NUMERIC
+) + ")"
+
+DECILES = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]"
+
+PSI = LONG + f""",
+edges AS (
+  SELECT feature, list_sort(list_distinct(quantile_disc(v, {DECILES}))) AS e
+  FROM long WHERE NOT is_cur GROUP BY feature),
+binned AS (
+  SELECT feature, is_cur, CASE WHEN v IS NULL THEN -1
+    ELSE len(list_filter(e, lambda x: x <= v)) END AS bin
+  FROM long JOIN edges USING (feature)),
 totals AS (
   SELECT feature, count(*) FILTER (NOT is_cur) AS n_base, count(*) FILTER (is_cur) AS n_cur
   FROM binned GROUP BY feature),
@@ -203,8 +212,6 @@ psi AS (
   SELECT feature, n_base, n_cur, sum((c - e) * ln(c / e)) AS psi
   FROM shares GROUP BY feature, n_base, n_cur)"""
 
-KS_COLUMNS = ("n_items", "sum_price", "avg_discount", "month_index")
-
 RAW = """
 raw AS (
   SELECT CAST(l_orderkey AS BIGINT) AS order_id, CAST(l_linenumber AS BIGINT) AS line,
@@ -270,8 +277,7 @@ s_orders AS (
   SELECT o_orderkey AS k, o_custkey FROM orders WHERE {unit("o_orderkey", "sample", 42)} < 0.05),
 s_items AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT k FROM s_orders)),
 s_customers AS (SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM s_orders)),
-s_products AS (SELECT * FROM part WHERE p_partkey IN (SELECT l_partkey FROM s_items)
-  ORDER BY {unit("p_partkey", "cap", 42)}, p_partkey LIMIT 50),
+s_products AS (SELECT * FROM part WHERE p_partkey IN (SELECT l_partkey FROM s_items)),
 s_sellers AS (SELECT * FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM s_items)),
 s_nations AS (SELECT * FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM s_customers)
   OR n_nationkey IN (SELECT s_nationkey FROM s_sellers))"""
@@ -306,10 +312,7 @@ SELECT {keys}round(threshold, 6) AS threshold,
 FROM ranked WHERE rn = 1"""
 
 
-LEAK_COLUMNS = (
-    "n_items", "sum_price", "max_price", "month_index", "purchase_dow", "customer_acctbal",
-    "delivery_days",
-)
+LEAK_COLUMNS = (*NUMERIC, "delivery_days")
 
 CANDIDATES = ORDERS + """,
 cand AS (
@@ -319,10 +322,11 @@ cand AS (
 
 ALIASES = EVENTS + """,
 hist_all AS (
-  SELECT event_type AS name, week(ts) AS wk, min(ts) AS valid_from FROM ev GROUP BY 1, 2),
+  SELECT event_type AS name, week(ts) AS wk,
+    date_trunc('day', min(ts)) + INTERVAL 12 HOUR AS valid_from FROM ev GROUP BY 1, 2),
 hist AS (
   SELECT name, 'champion' AS alias, CASE WHEN wk = 4 THEN 2 ELSE wk END AS version, valid_from
-  FROM hist_all WHERE CASE WHEN wk = 4 THEN 2 ELSE wk END >= 2)"""
+  FROM hist_all)"""
 
 LATE = FEATURES + """,
 pred AS (
@@ -330,8 +334,11 @@ pred AS (
     CASE WHEN year(purchase_date) < 1997 THEN 1 ELSE 2 END AS model_version,
     CAST(24100 - month_index - 10 * n_items AS DOUBLE) AS score FROM feat),
 matured AS (
-  SELECT p.*, o.label AS label FROM pred p
-  LEFT JOIN (SELECT * FROM ord WHERE delivered_at < DATE '1999-07-01') o USING (order_id)
+  SELECT p.*, date_trunc('month', p.day) AS month, CASE
+      WHEN o.delivered_at < DATE '1999-07-01'
+        AND o.delivered_at <= CAST(o.day AS TIMESTAMP) + INTERVAL 1000 DAY THEN 0
+      WHEN CAST(o.day AS TIMESTAMP) + INTERVAL 1000 DAY < DATE '1999-07-01' THEN 1 END AS label
+  FROM pred p JOIN ord o USING (order_id)
   WHERE p.day + 1000 <= DATE '1999-06-30')"""
 
 def oracles() -> dict[str, str]:
@@ -377,6 +384,9 @@ SELECT order_id, strftime(day, '%Y-%m-%d') AS purchase_date,
   CASE WHEN {unit_split} < 0.2 THEN 'holdout' ELSE 'train' END AS split
 FROM ord WHERE label IS NOT NULL AND year(day) IN (1996, 1997)""",
         "sample_connected_counts": f"WITH {SAMPLE} {SAMPLE_COUNTS}",
+        "sample_orphans": """SELECT unnest(['orders.order_id->items', 'orders.customer_id->customers',
+  'items.product_id->products', 'items.seller_id->sellers', 'customers.customer_nation->nations',
+  'sellers.seller_nation->nations']) AS relation, CAST(0 AS BIGINT) AS n_orphans""",
         "cap_rows": f"""SELECT c_custkey AS customer_id, CAST(c_nationkey AS BIGINT) AS customer_nation
 FROM customer ORDER BY {unit("c_custkey", "cap", 42)}, c_custkey LIMIT 100""",
         "cap_rows_large": f"""SELECT o_orderkey AS order_id, o_custkey AS customer_id
@@ -440,10 +450,10 @@ SELECT feature, n_rows, round(roc_auc, 6) AS roc_auc,
   round(greatest(roc_auc, 1 - roc_auc), 6) AS separation,
   coalesce(greatest(roc_auc, 1 - roc_auc) >= 0.95, false) AS suspect FROM m""",
         "psi": f"WITH {PSI} SELECT feature, n_base, n_cur, round(psi, 6) AS psi FROM psi",
-        "ks": f"""WITH {FEATURES}, long AS ({" UNION ALL ".join(
-            f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, "
-            f"purchase_date >= DATE '1998-01-01' AS is_cur FROM feat WHERE {c} IS NOT NULL"
-            for c in KS_COLUMNS)}),
+        "bin_edges": f"""WITH {LONG}, e AS (
+  SELECT feature, list_sort(list_distinct(quantile_disc(v, {DECILES}))) AS e FROM long GROUP BY feature)
+SELECT feature, unnest(range(len(e))) AS position, round(unnest(e), 6) AS edge FROM e""",
+        "ks": f"""WITH {LONG.replace("long AS", "every AS")}, long AS (SELECT * FROM every WHERE v IS NOT NULL),
 cdf AS (
   SELECT feature, v, sum(count(*) FILTER (NOT is_cur)) OVER w AS b,
     sum(count(*) FILTER (is_cur)) OVER w AS c
@@ -455,12 +465,13 @@ SELECT feature, n_base, n_cur,
 FROM cdf JOIN sizes USING (feature) GROUP BY feature, n_base, n_cur""",
         "feature_skew": f"""WITH {FEATURES}, c AS (
   SELECT count(*) AS n, count(*) FILTER (floor(avg_price) <> avg_price) AS price,
-    count(*) FILTER (seller_late_rate_before IS NULL) AS rate FROM feat)
-SELECT 'n_items' AS feature, n AS n_rows, CAST(0 AS BIGINT) AS n_mismatch,
-  0.0::DOUBLE AS mismatch_rate FROM c
-UNION ALL SELECT 'avg_price', n, price, round(CAST(price AS DOUBLE) / n, 6) FROM c
-UNION ALL SELECT 'seller_late_rate_before', n, rate, round(CAST(rate AS DOUBLE) / n, 6) FROM c
-UNION ALL SELECT 'customer_segment', n, 0, 0.0::DOUBLE FROM c""",
+    count(*) FILTER (seller_late_rate_before IS NULL) AS rate FROM feat),
+k AS (
+  SELECT unnest({list(NUMERIC + CATEGORICAL)}) AS feature, n AS n_rows, price, rate FROM c),
+m AS (
+  SELECT feature, n_rows, CASE feature WHEN 'avg_price' THEN price
+    WHEN 'seller_late_rate_before' THEN rate ELSE 0 END AS n_mismatch FROM k)
+SELECT feature, n_rows, n_mismatch, round(CAST(n_mismatch AS DOUBLE) / n_rows, 6) AS mismatch_rate FROM m""",
         "drift_checks": f"""WITH {PSI}, stat AS (
   SELECT 'psi' AS "check", feature AS subject, psi AS observed, 0.1::DOUBLE AS warn,
     0.25::DOUBLE AS error FROM psi
@@ -469,6 +480,17 @@ UNION ALL SELECT 'customer_segment', n, 0, 0.0::DOUBLE FROM c""",
     0.02::DOUBLE, 0.05::DOUBLE FROM ord),
 lev AS (SELECT *, CASE WHEN observed > error THEN 'ERROR' WHEN observed > warn THEN 'WARN'
   ELSE 'OK' END AS severity FROM stat)
+SELECT "check", subject, 'monitoring' AS stage, severity, severity = 'OK' AS passed,
+  round(observed, 6) AS observed,
+  CASE WHEN severity = 'ERROR' THEN error ELSE warn END AS threshold FROM lev""",
+        "drift_checks_gaps": f"""WITH {PSI}, stat AS (
+  SELECT 'psi' AS "check", feature AS subject, psi AS observed, 0.1::DOUBLE AS warn,
+    0.25::DOUBLE AS error FROM psi
+  UNION ALL SELECT 'positive_rate', 'is_late_delivery',
+    abs(avg(label) FILTER (day >= DATE '1998-01-01') - avg(label) FILTER (day < DATE '1998-01-01')),
+    NULL, NULL FROM ord),
+lev AS (SELECT *, CASE WHEN error IS NULL OR observed > error THEN 'ERROR' WHEN observed > warn THEN 'WARN'
+  ELSE 'OK' END AS severity FROM stat)
 SELECT "check", subject, 'monitoring' AS stage, severity, severity = 'OK' AS passed,
   round(observed, 6) AS observed,
   CASE WHEN severity = 'ERROR' THEN error ELSE warn END AS threshold FROM lev""",
@@ -513,7 +535,21 @@ SELECT 'absolute_threshold' AS "check", 'roc_auc' AS subject, 'gate' AS stage,
   0.6::DOUBLE AS threshold FROM a1
 UNION ALL SELECT 'no_regression', 'roc_auc', 'gate', 'ERROR',
   a1.roc_auc >= a2.roc_auc - 0.01::DOUBLE, round(a1.roc_auc, 6),
-  round(a2.roc_auc - 0.01::DOUBLE, 6) FROM a1, a2""",
+  round(a2.roc_auc - 0.01::DOUBLE, 6) FROM a1, a2
+UNION ALL SELECT 'common_rows', 'holdout', 'gate', 'WARN', true, 0.0::DOUBLE, 0.0::DOUBLE FROM a1""",
+        "champion_gate_gaps": f"""WITH {SCORED}, every AS (
+  SELECT * FROM scored WHERE {unit_split} < 0.2),
+hold AS (SELECT * FROM every WHERE champion_score - score <= 40),
+gone AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM every WHERE champion_score - score > 40),
+champ AS (SELECT champion_score AS score, label FROM hold),
+{evaluation("hold", name="a1")}, {evaluation("champ", name="a2")}
+SELECT 'absolute_threshold' AS "check", 'roc_auc' AS subject, 'gate' AS stage,
+  'ERROR' AS severity, roc_auc >= 0.6 AS passed, round(roc_auc, 6) AS observed,
+  0.6::DOUBLE AS threshold FROM a1
+UNION ALL SELECT 'no_regression', 'roc_auc', 'gate', 'ERROR',
+  a1.roc_auc >= a2.roc_auc - 0.01::DOUBLE, round(a1.roc_auc, 6),
+  round(a2.roc_auc - 0.01::DOUBLE, 6) FROM a1, a2
+UNION ALL SELECT 'common_rows', 'holdout', 'gate', 'WARN', n = 0, n, 0.0::DOUBLE FROM gone""",
         "register_version": f"""WITH {CANDIDATES}
 SELECT name, fingerprint, row_number() OVER (ORDER BY month) AS version,
   month < DATE '1998-01-01' AS reused_existing FROM cand""",
@@ -526,16 +562,23 @@ FROM ev e""",
 SELECT name, alias, CAST(version AS BIGINT) AS version,
   strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from
 FROM hist QUALIFY row_number() OVER (PARTITION BY name, alias ORDER BY valid_from DESC) = 1""",
+        "rollback_history": """WITH y AS (
+  SELECT year(o_orderdate) AS y, row_number() OVER (ORDER BY year(o_orderdate)) AS version
+  FROM orders GROUP BY year(o_orderdate)),
+top AS (SELECT max(y) AS y, max(version) AS n FROM y)
+SELECT 'late_delivery' AS name, 'champion' AS alias, version, y || '-12-31 00:00:00' AS valid_from, 'set' AS kind FROM y
+UNION ALL SELECT 'late_delivery', 'champion', n - 1, (y + 1) || '-01-01 00:00:00', 'rollback' FROM top
+UNION ALL SELECT 'late_delivery', 'champion', n - 2, (y + 1) || '-01-02 00:00:00', 'rollback' FROM top""",
         "latest_by": f"""WITH {EVENTS}
 SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type,
   round(value, 6) AS value, CAST(label AS BIGINT) AS label
 FROM ev QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
         "late_label_join": f"""WITH {LATE}
-SELECT order_id, strftime(day, '%Y-%m-%d') AS day, CAST(model_version AS BIGINT) AS model_version,
-  CAST(score AS BIGINT) AS score, CAST(label AS BIGINT) AS is_late_delivery FROM matured""",
-        "model_performance": f"""WITH {LATE}, mm AS (
-  SELECT *, CAST(date_trunc('month', day) AS DATE) AS month FROM matured),
-{evaluation("mm", "month, model_version")}
+SELECT order_id, strftime(day, '%Y-%m-%d') AS day, strftime(month, '%Y-%m-%d') AS month,
+  CAST(model_version AS BIGINT) AS model_version, CAST(score AS BIGINT) AS score,
+  CAST(label AS BIGINT) AS is_late_delivery FROM matured""",
+        "model_performance": f"""WITH {LATE},
+{evaluation("matured", "month, model_version")}
 SELECT strftime(month, '%Y-%m-%d') AS month, CAST(model_version AS BIGINT) AS model_version,
   {METRICS} FROM m""",
         "retrain_triggers": f"""WITH RECURSIVE {EVENTS}, e AS (
@@ -575,12 +618,13 @@ FROM scored WHERE month <> DATE '1996-03-01' GROUP BY month""",
 ds AS (SELECT order_id FROM ord
   WHERE label IS NOT NULL AND day >= DATE '1995-01-01' AND day < DATE '1998-01-01'),
 {fingerprint("ds", "CAST(order_id AS VARCHAR)",
-             '{"levels": [6, 3], "model": "logreg", "seed": 42, '
+             '{"levels": [6, 3], "model": "gbt", "seed": 42, '
              '"window_end": "1998-01-01", "window_start": "1995-01-01"}')},
 a AS (SELECT unnest(['champion', 'challenger']) AS alias)
 SELECT 'late_delivery' AS name, CAST(1 AS BIGINT) AS version, alias,
-  '2002-01-01 00:00:00' AS valid_from, fingerprint,
-  '{{"window_end": "1998-01-01", "window_start": "1995-01-01"}}' AS tags FROM a, f""",
+  '2002-01-01 00:00:00' AS valid_from, 'set' AS kind, fingerprint, '1995-01-01' AS window_start,
+  '1998-01-01' AS window_end, md5('{{"model": "gbt", "seed": 42, "window_end": "1998-01-01", '
+    || '"window_start": "1995-01-01"}}') AS config, true AS has_code FROM a, f""",
         "raw_to_staging": """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
   round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer""",
         "ingest_landing": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id,
@@ -590,16 +634,11 @@ SELECT 'late_delivery' AS name, CAST(1 AS BIGINT) AS version, alias,
         "stream_positive_rate": f"""WITH {EVENTS}
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n_rows,
   CAST(sum(label) AS BIGINT) AS n_positive, round(avg(label), 6) AS positive_rate
-FROM ev WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM ev)
-GROUP BY CAST(ts AS DATE)""",
-        "stream_label_join": f"""WITH {ORDERS},
-mark AS (SELECT least(max(purchase_ts), max(delivered_at)) - INTERVAL 1 DAY AS wm FROM ord)
+FROM ev GROUP BY CAST(ts AS DATE)""",
+        "stream_label_join": f"""WITH {ORDERS}
 SELECT order_id, strftime(purchase_ts, '%Y-%m-%d %H:%M:%S') AS purchase_ts,
-  CASE WHEN delivered_at <= purchase_ts + INTERVAL 400 DAY
-    THEN strftime(delivered_at, '%Y-%m-%d %H:%M:%S') END AS delivered_at,
-  CASE WHEN delivered_at <= purchase_ts + INTERVAL 400 DAY THEN CAST(label AS BIGINT) END
-    AS is_late_delivery
-FROM ord, mark
-WHERE delivered_at <= purchase_ts + INTERVAL 400 DAY OR purchase_ts + INTERVAL 400 DAY < wm""",
+  strftime(least(coalesce(delivered_at, day + 1000), CAST(day + 1000 AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S') AS known_at,
+  CAST(CASE WHEN delivered_at <= day + 1000 THEN 0 ELSE 1 END AS BIGINT) AS is_late_delivery
+FROM ord""",
     }
     return sql

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.functions.labels import late_label
+from orderflow.functions.labels import label_known_at, settled_label
 from orderflow.operators.staging import Field, stage
 from orderflow.plans.catalog import Query, features_layer
 from orderflow.plans.mart import LABEL, feature_spec, inference_mart, mart_order_features
@@ -14,11 +14,12 @@ from orderflow.sources.layers import write_layer
 from orderflow.sources.raw import read_raw
 from orderflow.sources.roles import load_roles, table
 from orderflow.streaming.ingest import append_stream, ingest_landing, ingest_log, read_landing
-from orderflow.streaming.monitors import stream_label_join, stream_positive_rate
+from orderflow.streaming.monitors import completed, stream_label_join, stream_positive_rate
 from orderflow.streaming.scoring import current_predictions, score_stream
 from orderflow.workspace import run_dir
 
-LAG = "400 days"
+#: The promise, after which every label is settled, and a day for the time of the purchase.
+LAG = "1001 days"
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,28 +55,31 @@ def stream_positive_rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = stream_positive_rate(logged, "ts", "label", "1 day")
     out, checkpoint = run_dir(spark, "rates"), run_dir(spark, "cursor")
     append_stream(rates, out, checkpoint).awaitTermination()
-    return spark.read.schema(rates.schema).parquet(out)
+    whole = stream_positive_rate(
+        table(spark, sf_dir, "events").join(segment, "user_id", "left"), "ts", "label", "1 day"
+    )
+    return completed(spark.read.schema(rates.schema).parquet(out), whole, ["day"])
 
 
 def stream_label_join_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as predictions, deliveries as facts that arrive up to LAG later."""
+    """Orders as predictions, settled labels as facts that arrive up to LAG later."""
     root = run_dir(spark, "landing")
     orders = load_roles(spark, sf_dir).orders.select(
-        "order_id", "purchase_ts", "delivered_at", late_label().alias(LABEL)
+        "order_id", "purchase_ts", label_known_at().alias("known_at"), settled_label().alias(LABEL)
     )
     written = write_layer(orders, root, "staging", "orders")
     predictions = written.select("order_id", "purchase_ts")
-    facts = written.where("delivered_at IS NOT NULL").select("order_id", "delivered_at", LABEL)
+    facts = written.select("order_id", "known_at", LABEL)
     for name, df in (("predictions", predictions), ("facts", facts)):
         write_layer(df, root, "raw", name)
     joined = stream_label_join(
         read_landing(spark, f"{root}/raw/predictions", predictions.schema),
         read_landing(spark, f"{root}/raw/facts", facts.schema),
-        "order_id", "purchase_ts", "delivered_at", LAG, "1 day",
+        "order_id", "purchase_ts", "known_at", LAG, "1 day",
     )
     out, checkpoint = run_dir(spark, "joined"), run_dir(spark, "cursor")
     append_stream(joined, out, checkpoint).awaitTermination()
-    return spark.read.schema(joined.schema).parquet(out)
+    return completed(spark.read.schema(joined.schema).parquet(out), written, ["order_id"])
 
 
 def score_stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

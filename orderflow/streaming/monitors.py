@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,15 @@ def stream_positive_rate(stream: DataFrame, ts_col: str, label: str, delay: str)
     )
 
 
+def completed(emitted: DataFrame, whole: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a finished stream has emitted, and the rows of `whole` its watermark still holds back.
+
+    `whole` is the same result computed as a batch. A stream that goes on emits
+    those rows itself, so this is for reading, not for the table it writes.
+    """
+    return emitted.unionByName(whole.join(emitted.select(*keys), list(keys), "left_anti"))
+
+
 def stream_label_join(
     predictions: DataFrame,
     facts: DataFrame,

@@ -113,13 +113,14 @@ def test_feature_skew_is_null_safe(spark):
 
 def test_drift_checks_levels(spark):
     statistics = spark.createDataFrame(
-        [("psi", "a", 0.05), ("psi", "b", 0.2), ("psi", "c", 0.3), ("psi", "d", None)],
+        [("psi", "a", 0.05), ("psi", "b", 0.2), ("psi", "c", 0.3), ("psi", "d", None), ("ks", "e", 0.0)],
         "check string, subject string, observed double",
     )
     limits = spark.createDataFrame([("psi", 0.1, 0.25)], "check string, warn double, error double")
     got = {r["subject"]: (r["severity"], r["threshold"]) for r in
            drift_checks(statistics, limits).collect()}
-    assert got == {"a": ("OK", 0.1), "b": ("WARN", 0.1), "c": ("ERROR", 0.25), "d": ("OK", 0.1)}
+    assert got == {"a": ("OK", 0.1), "b": ("WARN", 0.1), "c": ("ERROR", 0.25),
+                   "d": ("ERROR", 0.25), "e": ("ERROR", None)}
 
 
 def test_rate_shift(spark):

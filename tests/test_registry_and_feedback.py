@@ -3,6 +3,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from orderflow.functions.labels import label_as_of
 from orderflow.operators.feedback import late_label_join, model_performance, retrain_triggers
 from orderflow.operators.gates import GateFailed, quality_gate
 from orderflow.operators.registry import (
@@ -65,10 +66,43 @@ def test_promote_asks_the_gate_and_rollback_goes_one_back(spark, tmp_path):
     assert (now["alias"], now["version"]) == ("champion", 1)
 
 
+def test_rollbacks_walk_back_and_the_future_waits(spark, tmp_path):
+    aliases = str(tmp_path / "aliases")
+    for version in (1, 2, 2, 3):
+        promote(spark, aliases, "m", version, T0 + timedelta(days=version))
+    assert rollback(spark, aliases, "m", T0 + timedelta(days=5)) == 2
+    assert rollback(spark, aliases, "m", T0 + timedelta(days=6)) == 1
+    with pytest.raises(LookupError):
+        rollback(spark, aliases, "m", T0 + timedelta(days=7))
+    promote(spark, aliases, "m", 4, T0 + timedelta(days=8))
+    assert rollback(spark, aliases, "m", T0 + timedelta(days=9)) == 1
+    promote(spark, aliases, "m", 9, datetime(2199, 1, 1))
+    history = read_table(spark, aliases, ALIAS_SCHEMA)
+    assert current_alias(history).first()["version"] == 1
+    assert current_alias(history, datetime(2200, 1, 1)).first()["version"] == 9
+    assert current_alias(history, T0 + timedelta(days=3)).first()["version"] == 3
+
+
+def test_labels_settle_with_delivery_or_promise(spark):
+    day = lambda d: datetime(2024, 1, d)
+    rows = [(1, day(3), day(10)), (2, day(12), day(10)), (3, None, day(10)), (4, None, None), (5, day(20), day(25))]
+    df = spark.createDataFrame(rows, "k int, delivered_at timestamp, estimated_at timestamp")
+
+    def labels(today):
+        return {r["k"]: r["y"] for r in df.select("k", label_as_of(today).alias("y")).collect()}
+
+    assert labels(date(2024, 1, 2)) == {1: None, 2: None, 3: None, 4: None, 5: None}
+    assert labels(date(2024, 1, 9)) == {1: 0, 2: None, 3: None, 4: None, 5: None}
+    assert labels(date(2024, 1, 10)) == {1: 0, 2: 1, 3: 1, 4: None, 5: None}
+    assert labels(date(2024, 2, 1)) == {1: 0, 2: 1, 3: 1, 4: None, 5: 0}
+
+
 def test_alias_as_of_history(spark):
     history = spark.createDataFrame(
-        [("m", "champion", 1, datetime(2024, 1, 2, 12)), ("m", "champion", 2, datetime(2024, 1, 4)),
-         ("m", "champion", 3, datetime(2024, 1, 4)), ("m", "champion", 1, datetime(2024, 1, 4, 6))],
+        [("m", "champion", 1, datetime(2024, 1, 2, 12), "set"),
+         ("m", "champion", 2, datetime(2024, 1, 4), "set"),
+         ("m", "champion", 3, datetime(2024, 1, 4), "set"),
+         ("m", "champion", 1, datetime(2024, 1, 4, 6), "set")],
         ALIAS_SCHEMA,
     )
     times = {
@@ -84,7 +118,7 @@ def test_alias_as_of_history(spark):
 
 
 def test_alias_as_of_has_no_cross_join(spark):
-    history = spark.createDataFrame([("m", "c", 1, T0)], ALIAS_SCHEMA)
+    history = spark.createDataFrame([("m", "c", 1, T0, "set")], ALIAS_SCHEMA)
     events = spark.createDataFrame([("m", "c", T0)], "name string, alias string, ts timestamp")
     plan = alias_as_of(events, history, "ts")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan

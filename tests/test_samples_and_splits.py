@@ -1,11 +1,12 @@
 import hashlib
+from dataclasses import replace
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators import sampling
-from orderflow.operators.sampling import Follow, cap_rows, sample_connected
+from orderflow.operators.sampling import Follow, cap_rows, orphans, sample_connected
 from orderflow.operators.windows import (
     add_seeds,
     hash_split,
@@ -76,17 +77,26 @@ def test_whole_sample_drops_orphans_only(spark):
 
 
 def test_caps_bound_a_lookup(spark):
-    got = sample_connected(
-        tables(spark), "orders", "order_id", FOLLOWS, 0.5, 3, {"sellers": (5, ["seller_id"])}
-    )
+    caps = {"sellers": (5, ["seller_id"])}
+    loose = [replace(f, optional=f.table == "sellers") for f in FOLLOWS]
+    got = sample_connected(tables(spark), "orders", "order_id", loose, 0.5, 3, caps)
     assert got["sellers"].count() == 5 and got["customers"].count() > 5
+    lost = {r["relation"]: r["n_orphans"] for r in orphans(tables(spark), got, loose).collect()}
+    assert sum(v > 0 for v in lost.values()) == 1
+    for table in ("sellers", "items", "orders"):
+        with pytest.raises(ValueError, match="cap"):
+            sample_connected(tables(spark), "orders", "order_id", FOLLOWS, 0.5, 3, {table: (5, ["x"])})
+
+
+def test_samples_lose_no_key(spark):
+    got = sample_connected(tables(spark), "orders", "order_id", FOLLOWS, 0.5, 3)
+    assert all(r["n_orphans"] == 0 for r in orphans(tables(spark), got, FOLLOWS).collect())
 
 
-@pytest.mark.parametrize("top_k_limit", [10_000, 10])
+@pytest.mark.parametrize("slot_rows", [50_000, 60])
 @pytest.mark.parametrize("n", [0, 1, 37, 999, 1000, 5000])
-def test_cap_rows_is_exact_on_both_paths(spark, monkeypatch, n, top_k_limit):
-    monkeypatch.setattr(sampling, "_TOP_K_LIMIT", top_k_limit)
-    monkeypatch.setattr(sampling, "_CAP_SLOTS", 16)
+def test_cap_rows_is_exact_for_any_number_of_slots(spark, monkeypatch, n, slot_rows):
+    monkeypatch.setattr(sampling, "SLOT_ROWS", slot_rows)
     df = spark.range(1000).withColumnRenamed("id", "k")
     got = sorted(r["k"] for r in cap_rows(df, n, ["k"], 5).collect())
     assert got == sorted(sorted(range(1000), key=lambda k: (unit(k, "cap", 5), k))[:n])
