@@ -1,33 +1,39 @@
 """Exact Jaccard join of word-shingle sets through a token-group matrix.
 
-A text's shingles fall into parts by hash; a part's digest is a coarse token. Two
-sets at or above the threshold differ in so few shingles that they share a coarse
-token, whatever the texts (pigeonhole). Tokens that only one class has are dropped,
-classes with a common smallest token form groups of bounded size, and the matrix
-holds the tokens of each group's members. Two groups with no common token hold no
-link. For the others a task takes each set of one group as a query, bounds its
-overlap by the token union of the other group, and opens that group only for
-queries whose bound reaches the threshold.
+A text's shingles fall into parts by hash; a part's digest is a coarse token. Two sets
+at or above the threshold differ in so few shingles that they share a coarse token,
+whatever the texts (pigeonhole). Very common shingles are left out of the parts, for what
+two sets differ by doesn't grow without them and a digest of a common passage would
+hold strangers together. Sets that shared tokens hold together, directly or in
+a chain, are similar sets and form a group; a group too large for a task is cut by its
+members' smallest tokens. The matrix holds the tokens of the parts of such groups, and
+two parts without a common token hold no link. Within a group, and between parts that the
+matrix can't rule out, a task takes each set as a query, bounds its overlap by the
+token union of the other side, and opens that side only for queries whose bound
+reaches the threshold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.llm import textops
 from orderflow.llm.components import components
 from orderflow.llm.membership import bitmap, may_hold
+from orderflow.llm.tasks import in_arrow
 from orderflow.workspace import materialize
 
-#: Empty parts that carry no token; a set with more of them carries tokens for all.
-SPARE = 2
+#: A shingle is common if this share of all classes has it, counted where at least `LEAST_COMMON` of them stand together.
+COMMON_SHARE = 0.002
+LEAST_COMMON = 4
+#: Common shingles left out at most, the most frequent ones; any choice gives the same links.
+MOST_COMMON = 20_000
 #: Shingles and members of a group, about.
 GROUP_SHINGLES = 100_000
 GROUP_MEMBERS = 512
@@ -35,7 +41,6 @@ _STEP = 2_000_000
 _U = np.uint64
 
 
-@lru_cache(maxsize=8)
 def size_bands(percent: int) -> np.ndarray:
     """First size of each band; sizes of two sets in a link lie in one band or in two neighbouring ones."""
     firsts = [1]
@@ -44,16 +49,35 @@ def size_bands(percent: int) -> np.ndarray:
     return np.array(firsts)
 
 
-def coarse_tokens(doc: np.ndarray, value: np.ndarray, rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and coarse token of the distinct shingles (`doc`, `value`) of `rows` texts."""
+def parts_of(first: np.ndarray, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of parts for sets that meet in a band, and how many of them may be empty and carry no token.
+
+    Sets of at most `most` shingles differ by at most `differ` of them, so `differ + 1` parts
+    that aren't empty in both always hold an equal one. Room for empty parts follows their
+    expected share; a set with more of them carries tokens for all. No room for a difference
+    means equal sets: one class, no token.
+    """
+    most = first[np.minimum(band + 1, len(first) - 1)] - 1
+    differ = (100 - percent) * 2 * most // (100 + percent)
+    share = int(160 * np.exp(-((percent / 100) ** 2) * (100 + percent) / max(2 * (100 - percent), 1)))
+    spare = 3 + (differ + 1) * share // 100
+    return np.where(differ > 0, differ + 1 + spare, 0), spare
+
+
+def coarse_tokens(
+    doc: np.ndarray, value: np.ndarray, rows: int, percent: int, common: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row and coarse token of the distinct shingles (`doc`, `value`) of `rows` texts; `common` is sorted."""
     firsts = size_bands(percent)
     size = np.bincount(doc, minlength=rows)
     band = np.searchsorted(firsts, size, "right") - 1
+    if len(common):
+        rare = common[np.minimum(np.searchsorted(common, value), len(common) - 1)] != value
+        doc, value = doc[rare], value[rare]
     out_rows, out_tokens = [], []
-    for step in (0, 1):  # a band's pairs meet in its own tokens or in the next band's
-        here = band + step
-        differ = (100 - percent) * 2 * (firsts[np.minimum(here + 1, len(firsts) - 1)] - 1) // (100 + percent)
-        parts = np.where((size > 0) & (differ > 0), differ + 1 + SPARE, 0)  # sets of a band without room for a difference are one class
+    for here in (band, band + 1):  # a band's pairs meet in its own tokens or in the next band's
+        parts, spare = parts_of(firsts, here, percent)
+        parts = np.where(size > 0, parts, 0)
         first = np.concatenate([[0], np.cumsum(parts)])
         used = parts[doc] > 0
         d, v = doc[used], value[used]
@@ -65,70 +89,150 @@ def coarse_tokens(doc: np.ndarray, value: np.ndarray, rows: int, percent: int) -
         owner = np.repeat(np.arange(rows), parts)
         part = np.arange(first[-1]) - first[owner]
         empty = np.bincount(owner, weights=~filled, minlength=rows)
-        keep = filled | (empty[owner] > SPARE)
+        keep = filled | (empty > spare)[owner]
         place = textops.mix(part.astype(_U) + textops.mix(here[owner].astype(_U) + _U(7)))
         out_rows.append(owner[keep])
         out_tokens.append(textops.mix(total + place)[keep])
     return np.concatenate(out_rows), np.concatenate(out_tokens)
 
 
-def _sets(k: int, percent: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds set size, class (63 bits and more) and coarse tokens to rows; a text's tokens come once a task."""
+def _class_of(doc: np.ndarray, value: np.ndarray, rows: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size of each row's set, its class and a second digest of the set."""
+    size = np.bincount(doc, minlength=rows)
+    total, other = np.zeros(rows, _U), np.zeros(rows, _U)
+    np.add.at(total, doc, textops.mix(value + _U(seed)))
+    np.add.at(other, doc, textops.mix(value ^ _U(0xA0761D6478BD642F)))
+    return size, textops.signed(textops.mix(total + size.astype(_U))), textops.signed(other)
+
+
+def _sets(k: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds set size, class and second digest to rows in place of the text, the last column.
+
+    The first row of a run of rows also gets the shingles that many of the run's new classes share.
+    """
+    held_type = pa.struct([("shingle", pa.int64()), ("held", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index("text"))
-            for lo, hi, data, offsets in textops.slices(text):
-                words = textops.Words(data, offsets, textops.SPACED)
-                doc, value = words.shingles(k)
-                rows = hi - lo
-                size = np.bincount(doc, minlength=rows)
-                total, other = np.zeros(rows, _U), np.zeros(rows, _U)
-                np.add.at(total, doc, textops.mix(value + _U(seed)))
-                np.add.at(other, doc, textops.mix(value ^ _U(0xA0761D6478BD642F)))
-                cls = textops.signed(textops.mix(total + size.astype(_U)))
-                fresh = np.zeros(rows, bool)
-                for i in np.flatnonzero(size):
-                    if int(cls[i]) not in seen:
-                        seen.add(int(cls[i]))
-                        fresh[i] = True
-                own = fresh[doc]
-                owner, token = coarse_tokens(doc[own], value[own], rows, percent)
-                order = np.argsort(owner, kind="stable")
-                tokens = textops.lists(textops.signed(token[order]), np.bincount(owner, minlength=rows), pa.int64())
-                part = batch.slice(lo, rows)
+            at = batch.num_columns - 1
+            for lo, hi, data, offsets in textops.slices(batch.column(at)):
+                doc, value = textops.Words(data, offsets, textops.SPACED).shingles(k)
+                size, cls, check = _class_of(doc, value, hi - lo, seed)
+                fresh = _fresh(cls, size, seen)
+                shingle, held = np.unique(value[fresh[doc]], return_counts=True)
+                many = held >= max(LEAST_COMMON, COMMON_SHARE * fresh.sum())
+                entries = pa.StructArray.from_arrays(
+                    [pa.array(textops.signed(shingle[many]), pa.int64()), pa.array(held[many], pa.int64())], fields=list(held_type)
+                )
+                offs = np.full(hi - lo + 1, many.sum(), np.int32)
+                offs[0] = 0
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(i) for i, n in enumerate(part.schema.names) if n != "text"),
+                        *(batch.column(i).slice(lo, hi - lo) for i in range(at)),
                         pa.array(size, pa.int64()),
                         pa.array(cls, pa.int64(), mask=size == 0),
-                        pa.array(textops.signed(other), pa.int64(), mask=size == 0),
-                        tokens,
+                        pa.array(check, pa.int64(), mask=size == 0),
+                        pa.ListArray.from_arrays(pa.array(offs, pa.int32()), entries),
                     ],
-                    names=[n for n in part.schema.names if n != "text"] + ["size", "cls", "check", "tokens"],
+                    names=[*batch.schema.names[:at], "size", "cls", "check", "common"],
                 )
 
     return run
 
 
-def _shingles(k: int, wanted: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Shingles of the texts whose key may be wanted, each once a task."""
+def _fresh(cls: np.ndarray, size: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Rows whose class the task meets for the first time."""
+    fresh = np.zeros(len(cls), bool)
+    for i in np.flatnonzero(size):
+        if int(cls[i]) not in seen:
+            seen.add(int(cls[i]))
+            fresh[i] = True
+    return fresh
+
+
+def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of `n` places the smallest one that links from `a` to `b` reach."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        np.minimum.at(root, a, root[b])
+        np.minimum.at(root, b, root[a])
+        root = root[root]
+        if (before == root).all():
+            return root
+
+
+def _tokens(k: int, percent: int, seed: int, common: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(`token`, `cls`): a batch gives each of its tokens once, whichever classes share it.
+
+    Classes that tokens hold together within the batch share a token of the batch's own,
+    so a token has a row a batch at most and the batch's own tokens a row a class.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
+        seen: set[int] = set()
         for batch in batches:
-            hit = may_hold(wanted, batch.column(0).to_numpy())
-            keys = batch.column(1)
-            for i in np.flatnonzero(hit):
-                key = keys[i].as_py()
-                hit[i] = key is not None and key not in seen
-                seen.add(key)
-            batch = batch.filter(pa.array(hit))
-            for lo, hi, data, offsets in textops.slices(batch.column(2)):
+            classes, tokens = [], []
+            for lo, hi, data, offsets in textops.slices(batch.column(0)):
                 doc, value = textops.Words(data, offsets, textops.SPACED).shingles(k)
-                found = textops.lists(textops.signed(value), np.bincount(doc, minlength=hi - lo), pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), found], names=["key", "shingles"])
+                size, cls, _ = _class_of(doc, value, hi - lo, seed)
+                own = _fresh(cls, size, seen)[doc]
+                owner, token = coarse_tokens(doc[own], value[own], hi - lo, percent, common)
+                classes.append(cls[owner])
+                tokens.append(token)
+            cls, token = np.concatenate(classes or [np.zeros(0, np.int64)]), np.concatenate(tokens or [np.zeros(0, _U)])
+            if not len(token):
+                continue
+            name, place = np.unique(cls, return_inverse=True)
+            order = np.lexsort((place, token))
+            token, place = token[order], place[order]
+            again = np.zeros(len(token), bool)
+            again[1:] = token[1:] == token[:-1]
+            root = _roots(place[np.flatnonzero(again) - 1], place[again], len(name))
+            held = np.flatnonzero(np.bincount(root, minlength=len(name))[root] > 1)
+            salt = textops.mix(np.array([name.view(_U).sum(), len(name)], _U)).sum()
+            private = textops.mix(name[root[held]].view(_U) ^ salt)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(textops.signed(np.concatenate([token[~again], private])), pa.int64()),
+                    pa.array(name[np.concatenate([place[~again], held])], pa.int64()),
+                ],
+                names=["token", "cls"],
+            )
+
+    return run
+
+
+def _shingles(k: int, seed: int, wanted: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Class and shingles of the texts whose hash may be wanted, each class once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            batch = batch.filter(pa.array(may_hold(wanted, batch.column(0).to_numpy())))
+            for lo, hi, data, offsets in textops.slices(batch.column(1)):
+                doc, value = textops.Words(data, offsets, textops.SPACED).shingles(k)
+                size, cls, _ = _class_of(doc, value, hi - lo, seed)
+                new = _fresh(cls, size, seen)
+                found = textops.lists(textops.signed(value[new[doc]]), size[new], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(cls[new], pa.int64()), found], names=["cls", "shingles"])
+
+    return run
+
+
+def _set_tokens(percent: int, common: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(`cls`, `token`): every coarse token of each class's shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cls = batch.column(0).to_numpy()
+            sets = batch.column(1)
+            doc = np.repeat(np.arange(len(cls)), np.diff(sets.offsets.to_numpy()))
+            owner, token = coarse_tokens(doc, sets.flatten().to_numpy().view(_U), len(cls), percent, common)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cls[owner], pa.int64()), pa.array(textops.signed(token), pa.int64())], names=["cls", "token"]
+            )
 
     return run
 
@@ -173,6 +277,11 @@ def _open(a: _Group, b: _Group, percent: int, same: bool) -> Iterator[tuple[np.n
         yield queries[q], m, common[q, m]
 
 
+def _parts() -> Column:
+    """How many tasks the sets of a group (`size`) fill."""
+    return F.ceil(F.greatest(F.sum("size") / F.lit(GROUP_SHINGLES), F.count("*") / F.lit(GROUP_MEMBERS)))
+
+
 def _verify(percent: int, pairs: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Opens pairs of groups. Gives either every link, or for each class with links its number of linked documents and a root."""
 
@@ -192,19 +301,13 @@ def _verify(percent: int, pairs: bool) -> Callable[[Iterator[pa.RecordBatch]], I
                     continue
                 cls = np.concatenate([a.cls, b.cls])
                 links = np.concatenate([np.bincount(q, b.copies[m], len(a.cls)), np.bincount(m, a.copies[q], len(b.cls))])
-                root, right = cls.copy(), m + len(a.cls)
+                right = m + len(a.cls)
                 if same:
-                    right = m
+                    cls, right = a.cls, m
                     links = links[: len(a.cls)] + links[len(a.cls) :]
-                    cls, root = a.cls, a.cls.copy()
-                while True:
-                    before = root.copy()
-                    np.minimum.at(root, q, root[right])
-                    np.minimum.at(root, right, root[q])
-                    if (before == root).all():
-                        break
+                root = _roots(q, right, len(cls))
                 has = links > 0
-                out.append([cls[has], root[has], links[has].astype(np.int64)])
+                out.append([cls[has], cls[root[has]], links[has].astype(np.int64)])
             names = ["a", "b", "common", "together"] if pairs else ["cls", "root", "links"]
             columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
@@ -231,16 +334,16 @@ class JaccardJoin:
             raise ValueError("percent must lie in 1..100 and k must be positive")
         self.k, self.percent = k, percent
         self.docs = docs.select(F.col(id_col).alias("id"), F.md5(text_col).alias("key"), F.col(text_col).alias("text"))
-        kept = [self.docs.schema["id"], self.docs.schema["key"]]
         schema = T.StructType(
             [
-                *(T.StructField(f.name, f.dataType) for f in kept),
+                *(T.StructField(n, self.docs.schema[n].dataType) for n in ("id", "key")),
                 *(T.StructField(n, T.LongType()) for n in ("size", "cls", "check")),
-                T.StructField("tokens", T.ArrayType(T.LongType())),
+                T.StructField("common", T.DataType.fromDDL("array<struct<shingle:bigint,held:bigint>>")),
             ]
         )
-        for seed in range(0x9E37, 0x9E37 + 9):
-            self.members = materialize(self.docs.mapInArrow(_sets(k, percent, seed), schema), "jaccard-members")
+        self._opened: DataFrame | None = None
+        for self.seed in range(0x9E37, 0x9E37 + 9):
+            self.members = materialize(in_arrow(self.docs, _sets(k, self.seed), schema), "jaccard-members")
             self.classes = materialize(
                 self.members.where("size > 0")
                 .groupBy("cls")
@@ -248,6 +351,7 @@ class JaccardJoin:
                     F.count("*").alias("copies"),
                     F.min("id").alias("first_id"),
                     F.min("size").alias("size"),
+                    F.min(F.xxhash64("key")).alias("text_hash"),
                     ((F.min("check") != F.max("check")) | (F.min("size") != F.max("size"))).alias("clash"),
                 ),
                 "jaccard-classes",
@@ -257,68 +361,91 @@ class JaccardJoin:
         raise RuntimeError("no seed gave every set a name of its own")
 
     def _group_pairs(self) -> DataFrame:
-        """`same`, `left`, `right`: the members of every two groups that the matrix can't rule out."""
-        tokens = self.members.select("cls", F.explode("tokens").alias("token"))
-        shared = materialize(
-            tokens.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("token"),
-            "jaccard-shared",
-        )
-        kept = materialize(tokens.join(shared, "token").distinct(), "jaccard-tokens")
-        lead = (
-            kept.groupBy("cls").agg(F.min("token").alias("lead")).join(self.classes.select("cls", "copies", "size"), "cls")
+        """`same`, `left`, `right`: the members of each group, and of every two parts of one that the matrix can't rule out."""
+        if self._opened is None:
+            self._opened = self._find_pairs()
+        return self._opened
+
+    def _find_pairs(self) -> DataFrame:
+        least = max(50, int(COMMON_SHARE * self.classes.count()))
+        found = (
+            self.members.select(F.inline("common"))
+            .groupBy("shingle")
+            .agg(F.sum("held").alias("held"))
+            .where(F.col("held") >= least)
+            .orderBy(F.desc("held"), "shingle")
+            .limit(MOST_COMMON)
+            .toArrow()
         )
-        lead = materialize(lead, "jaccard-leads")
-        room = lead.groupBy("lead").agg(
-            F.ceil(
-                F.greatest(F.sum("size") / F.lit(GROUP_SHINGLES), F.count("*") / F.lit(GROUP_MEMBERS))
-            ).alias("groups")
+        common = np.sort(found.column("shingle").to_numpy().astype(np.int64).view(_U))
+        tokens = in_arrow(
+            self.docs.select("text"), _tokens(self.k, self.percent, self.seed, common), "token long, cls long"
         )
-        grouped = materialize(
-            lead.join(room, "lead").select(
-                "cls", "copies", F.xxhash64("lead", F.expr("pmod(xxhash64(cls), groups)")).alias("grp")
-            ),
-            "jaccard-groups",
-        )
-        matrix = materialize(kept.join(grouped, "cls").select("token", "grp").distinct(), "jaccard-matrix")
-        pairs = materialize(
-            matrix.select("token", F.col("grp").alias("g1"))
-            .join(matrix.select("token", F.col("grp").alias("g2")), "token")
-            .where("g1 <= g2")
-            .select("g1", "g2")
-            .distinct(),
-            "jaccard-pairs",
+        before = F.lag("cls").over(Window.partitionBy("token").orderBy("cls"))
+        held = materialize(
+            tokens.withColumn("near", before).where("near <> cls").select("cls", "near").distinct(), "jaccard-held"
         )
-        texts = materialize(
-            self.members.select("cls", "key").join(grouped, "cls").groupBy("cls", "copies", "grp").agg(F.min("key").alias("key")),
-            "jaccard-texts",
+        similar = materialize(
+            components(held, "cls", "near")
+            .withColumnRenamed("node", "cls")
+            .join(self.classes.select("cls", "copies", "size", "text_hash"), "cls"),
+            "jaccard-similar",
         )
-        wanted = bitmap(texts.select(F.xxhash64("key").alias("h")), "h")
-        shingles = self.docs.select(F.xxhash64("key").alias("h"), "key", "text").mapInArrow(
-            _shingles(self.k, wanted), "key string, shingles array<long>"
+        whole = similar.groupBy("root").agg(_parts().alias("cuts"))
+        wanted = bitmap(similar, "text_hash")
+        shingles = in_arrow(
+            self.docs.select(F.xxhash64("key").alias("h"), "text"),
+            _shingles(self.k, self.seed, wanted),
+            "cls long, shingles array<long>",
         )
-        groups = materialize(
-            texts.join(shingles, "key")
-            .groupBy("grp", "cls", "copies")
+        sets = materialize(
+            shingles.groupBy("cls")
             .agg(F.first("shingles").alias("shingles"))
-            .groupBy("grp")
-            .agg(F.collect_list(F.struct("cls", "copies", "shingles")).alias("members")),
+            .join(similar.join(whole, "root").select("cls", "copies", "size", "root", "cuts"), "cls"),
             "jaccard-sets",
         )
-        left = groups.select(F.col("grp").alias("g1"), F.col("members").alias("left"))
-        alone = left.select(F.lit(True).alias("same"), "left", F.lit(None).cast(left.schema["left"].dataType).alias("right"))
-        right = groups.select(F.col("grp").alias("g2"), F.col("members").alias("right"))
-        return alone.union(
-            pairs.where("g1 < g2").join(left, "g1").join(right, "g2").select(F.lit(False), "left", "right")
+        large = materialize(
+            in_arrow(
+                sets.where("cuts > 1").select("cls", "shingles"), _set_tokens(self.percent, common), "cls long, token long"
+            ),
+            "jaccard-tokens",
+        )
+        lead = materialize(
+            large.groupBy("cls").agg(F.min("token").alias("lead")).join(sets.select("cls", "root", "size", "cuts"), "cls"),
+            "jaccard-leads",
+        )
+        fine = lead.groupBy("root", "lead").agg(_parts().alias("again"))
+        cut = lead.join(fine, ["root", "lead"]).select(
+            "cls",
+            F.xxhash64("root", F.expr("pmod(xxhash64(lead), cuts)"), F.when(F.col("again") > 1, F.expr("xxhash64(lead, pmod(xxhash64(cls), again))"))).alias("part"),
+        )
+        cut = materialize(cut, "jaccard-parts")
+        members = F.collect_list(F.struct("cls", "copies", "shingles")).alias("members")
+        entire = sets.where("cuts = 1").groupBy("root").agg(members).select("members")
+        parts = materialize(sets.where("cuts > 1").join(cut, "cls").groupBy("part").agg(members), "jaccard-part-sets")
+        matrix = materialize(large.join(cut, "cls").select("token", "part").distinct(), "jaccard-matrix")
+        pairs = (
+            matrix.select("token", F.col("part").alias("p1"))
+            .join(matrix.select("token", F.col("part").alias("p2")), "token")
+            .where("p1 < p2")
+            .select("p1", "p2")
+            .distinct()
+        )
+        left = parts.select(F.col("part").alias("p1"), F.col("members").alias("left"))
+        right = parts.select(F.col("part").alias("p2"), F.col("members").alias("right"))
+        alone = entire.union(parts.select("members")).select(
+            F.lit(True).alias("same"), F.col("members").alias("left"), F.lit(None).cast(parts.schema["members"].dataType).alias("right")
         )
+        return alone.union(pairs.join(left, "p1").join(right, "p2").select(F.lit(False), "left", "right"))
 
     def pairs(self) -> DataFrame:
         """Every link between two classes: `a`, `b`, number of `common` shingles and of shingles `together`."""
-        return self._group_pairs().mapInArrow(_verify(self.percent, True), "a long, b long, common long, together long")
+        return in_arrow(self._group_pairs(), _verify(self.percent, True), "a long, b long, common long, together long")
 
     def per_document(self) -> DataFrame:
         """Each row's `id`, `key` (md5 of the text), `size` of its set, `cls`, number of `links`, component (`root`) and the smallest id in it (`component_id`)."""
         links = materialize(
-            self._group_pairs().mapInArrow(_verify(self.percent, False), "cls long, root long, links long"), "jaccard-links"
+            in_arrow(self._group_pairs(), _verify(self.percent, False), "cls long, root long, links long"), "jaccard-links"
         )
         roots = components(links, "cls", "root")
         counts = links.groupBy("cls").agg(F.sum("links").alias("links"))
