@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderflow.llm.tasks import in_arrow
 from orderflow.workspace import materialize
 
 #: Vectors of a block and queries that open it together, about.
@@ -151,9 +152,8 @@ def _open(chosen: DataFrame, queries: DataFrame, blocks: DataFrame, k: int) -> D
         .groupBy("block", F.expr("pmod(xxhash64(qno), parts)").alias("part"))
         .agg(F.collect_list(F.struct("qno", "qid", "v", "floor")).alias("queries"))
     )
-    return asked.join(blocks.select("block", "members"), "block").select("queries", "members").mapInArrow(
-        _opened(k), "qno long, qid long, id long, score long"
-    )
+    opened = asked.join(blocks.select("block", "members"), "block").select("queries", "members")
+    return in_arrow(opened, _opened(k), "qno long, qid long, id long, score long")
 
 
 def search(
@@ -180,7 +180,7 @@ def search(
     spark = table.sparkSession
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("e")).where("id is not null")
     whole = materialize(
-        rows.mapInArrow(_integers(scale), "id long, v binary, dim long, norm2 double"), "topk-rows"
+        in_arrow(rows, _integers(scale), "id long, v binary, dim long, norm2 double"), "topk-rows"
     )
     dims = whole.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm2").alias("most")).orderBy(F.desc("n"), "dim").limit(1).collect()  # one row
     if not dims:
@@ -192,7 +192,7 @@ def search(
     points = pick_pivots(_matrix(drawn.column(0).to_pylist()), pivots)
 
     keyed = materialize(
-        entries.select("v", "ids").mapInArrow(_keyed(points, most), "v binary, ids array<long>, pivot long, d double"), "topk-keyed"
+        in_arrow(entries.select("v", "ids"), _keyed(points, most), "v binary, ids array<long>, pivot long, d double"), "topk-keyed"
     )
     cells = keyed.groupBy("pivot").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("n")).select(
         "pivot",
@@ -217,8 +217,11 @@ def search(
 
     asked = valid.where(is_query).select(F.col("id").alias("qid"), "v", "norm2").distinct()
     queries = materialize(
-        asked.withColumn("qno", F.xxhash64("qid", "v"))
-        .mapInArrow(_measured(points, most), "qid long, v binary, norm2 double, qno long, d array<double>"),
+        in_arrow(
+            asked.withColumn("qno", F.xxhash64("qid", "v")),
+            _measured(points, most),
+            "qid long, v binary, norm2 double, qno long, d array<double>",
+        ),
         "topk-queries",
     )
     spread = queries.select("qno", "norm2", F.posexplode("d").alias("pivot", "d"))
@@ -239,7 +242,7 @@ def search(
     room = F.sqrt(F.greatest(F.lit(0.0), F.col("norm2") + F.lit(float(most)) - 2 * F.col("floor"))) * (1 + 1e-9) + 1e-6 * (1 + float(most) ** 0.5)
     reach = (
         spread.join(floors, "qno", "left")
-        .withColumn("room", F.coalesce(room, F.lit(float("inf"))))
+        .withColumn("room", F.when(F.col("floor").isNull(), F.lit(float("inf"))).otherwise(room))  # greatest() skips nulls
         .select("qno", F.col("pivot").cast("long"), "d", "room", F.coalesce("floor", F.lit(-(1 << 63)).cast("long")).alias("floor"))
     )
     chosen = materialize(
