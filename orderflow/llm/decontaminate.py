@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from orderflow.llm import textops
 from orderflow.llm.membership import bitmap, may_hold
+from orderflow.llm.tasks import in_arrow
 from orderflow.workspace import materialize
 
 _FOUND = pa.struct([("print", pa.int64()), ("at", pa.int64()), ("len", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
@@ -103,7 +104,7 @@ def _spanned(table: DataFrame, id_col: str, text_col: str, run: Callable, label:
             T.StructField("found", T.DataType.fromDDL(_FOUND_SQL)),
         ]
     )
-    return materialize(rows.mapInArrow(run, schema), label)
+    return materialize(in_arrow(rows, run, schema), label)
 
 
 def contamination(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.llm import textops
+from orderflow.llm.tasks import in_arrow
 
 BUCKETS = 1 << 13
 _SHIFT = np.uint32(32 - 13)
@@ -157,12 +158,14 @@ def train(
     span = 1 << 30
     share = [(r["lang"], min(span, span * most_rows // (len(counts) * r["count"]))) for r in counts]
     shares = rows.sparkSession.createDataFrame(share, "lang string, below long")
-    drawn = (
+    sample = (
         rows.withColumn("draw", F.xxhash64(F.lit(seed), "id", F.md5("text")))
         .join(F.broadcast(shares), "lang")  # `most_labels` rows at most
         .where(F.pmod("draw", F.lit(span)) < F.col("below"))
         .select("lang", "draw", "text")
-        .mapInArrow(_counted, "lang string, draw long, bucket array<smallint>, times array<int>")
+    )
+    drawn = (
+        in_arrow(sample, _counted, "lang string, draw long, bucket array<smallint>, times array<int>")
         .orderBy("draw", "lang")
         .limit(most_rows)
         .toArrow()
@@ -235,4 +238,4 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str
         rows.schema.fields[: len(keep)]
         + [T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType()), T.StructField("_rejected", T.BooleanType())]
     )
-    return rows.mapInArrow(_predicted(model, every.index(text_col), drop), schema)
+    return in_arrow(rows, _predicted(model, every.index(text_col), drop), schema)

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderflow.llm.tasks import in_arrow
+
 # The patterns of the base spans.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -166,7 +168,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     schema = T.StructType(
         [rows.schema["id"], T.StructField("spans", T.DataType.fromDDL("array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"))]
     )
-    return rows.mapInArrow(_found(least), schema)
+    return in_arrow(rows, _found(least), schema)
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", least: float = 0.6) -> DataFrame:
@@ -186,4 +188,4 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["id", "text"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], T.StructField("text", T.StringType())]))
+    return in_arrow(rows, run, T.StructType([rows.schema["id"], T.StructField("text", T.StringType())]))
