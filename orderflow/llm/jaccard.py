@@ -29,14 +29,17 @@ from orderflow.llm.membership import bitmap, may_hold
 from orderflow.llm.tasks import in_arrow
 from orderflow.workspace import materialize
 
-#: A shingle is common if this share of all classes has it, counted where at least `LEAST_COMMON` of them stand together.
-COMMON_SHARE = 0.002
-LEAST_COMMON = 4
+#: A shingle is common if this share of all classes has it, and `LEAST_COMMON` at least, of sizes
+#: too different for copies of one another. It is counted in windows of so many shingles of a task.
+COMMON_SHARE = 0.0002
+LEAST_COMMON = 16
+WINDOW_SHINGLES = 4_000_000
+WINDOW_LEAST = 4
 #: Common shingles left out at most, the most frequent ones; any choice gives the same links.
-MOST_COMMON = 20_000
+MOST_COMMON = 100_000
 #: Shingles and members of a group, about.
-GROUP_SHINGLES = 100_000
-GROUP_MEMBERS = 512
+GROUP_SHINGLES = 1_000_000
+GROUP_MEMBERS = 8192
 _STEP = 2_000_000
 _U = np.uint64
 
@@ -105,38 +108,65 @@ def _class_of(doc: np.ndarray, value: np.ndarray, rows: int, seed: int) -> tuple
     return size, textops.signed(textops.mix(total + size.astype(_U))), textops.signed(other)
 
 
+def _common_of(value: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several classes of a window hold, whose set sizes (`size` of each entry) differ much, and how many."""
+    order = np.argsort(value, kind="stable")
+    value, size = value[order], size[order]
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
+    held = np.diff(np.append(first, len(value)))
+    if not len(first):
+        return value, held
+    spread = 5 * np.maximum.reduceat(size, first) >= 8 * np.minimum.reduceat(size, first)
+    many = (held >= WINDOW_LEAST) & spread
+    return value[first[many]], held[many]
+
+
 def _sets(k: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds set size, class and second digest to rows in place of the text, the last column.
 
-    The first row of a run of rows also gets the shingles that many of the run's new classes share.
+    The first of the rows that close a window also gets the window's common shingles.
     """
     held_type = pa.struct([("shingle", pa.int64()), ("held", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        window: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting: pa.RecordBatch | None = None
+
+        def closed(rows: pa.RecordBatch) -> pa.RecordBatch:
+            value, size = (np.concatenate(x) for x in zip(*window, strict=True))
+            window.clear()
+            shingle, held = _common_of(value, size)
+            entries = pa.StructArray.from_arrays(
+                [pa.array(textops.signed(shingle), pa.int64()), pa.array(held, pa.int64())], fields=list(held_type)
+            )
+            offs = np.full(rows.num_rows + 1, len(shingle), np.int32)
+            offs[0] = 0
+            return rows.append_column("common", pa.ListArray.from_arrays(pa.array(offs, pa.int32()), entries))
+
         for batch in batches:
             at = batch.num_columns - 1
             for lo, hi, data, offsets in textops.slices(batch.column(at)):
+                if waiting is not None:
+                    if sum(len(v) for v, _ in window) >= WINDOW_SHINGLES:
+                        yield closed(waiting)
+                    else:
+                        yield waiting.append_column("common", pa.nulls(waiting.num_rows, pa.list_(held_type)))
                 doc, value = textops.Words(data, offsets, textops.SPACED).shingles(k)
                 size, cls, check = _class_of(doc, value, hi - lo, seed)
-                fresh = _fresh(cls, size, seen)
-                shingle, held = np.unique(value[fresh[doc]], return_counts=True)
-                many = held >= max(LEAST_COMMON, COMMON_SHARE * fresh.sum())
-                entries = pa.StructArray.from_arrays(
-                    [pa.array(textops.signed(shingle[many]), pa.int64()), pa.array(held[many], pa.int64())], fields=list(held_type)
-                )
-                offs = np.full(hi - lo + 1, many.sum(), np.int32)
-                offs[0] = 0
-                yield pa.RecordBatch.from_arrays(
+                own = _fresh(cls, size, seen)[doc]
+                window.append((value[own], size[doc[own]].astype(np.int32)))
+                waiting = pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(i).slice(lo, hi - lo) for i in range(at)),
                         pa.array(size, pa.int64()),
                         pa.array(cls, pa.int64(), mask=size == 0),
                         pa.array(check, pa.int64(), mask=size == 0),
-                        pa.ListArray.from_arrays(pa.array(offs, pa.int32()), entries),
                     ],
-                    names=[*batch.schema.names[:at], "size", "cls", "check", "common"],
+                    names=[*batch.schema.names[:at], "size", "cls", "check"],
                 )
+        if waiting is not None:
+            yield closed(waiting)
 
     return run
 
@@ -257,7 +287,7 @@ def _open(a: _Group, b: _Group, percent: int, same: bool) -> Iterator[tuple[np.n
     found = np.searchsorted(b.sorted, a.value, "right") - lo
     bound = np.bincount(a.member, weights=found > 0, minlength=len(a.cls))
     open_ = 100 * bound >= percent * a.size
-    work = np.bincount(a.member, weights=found, minlength=len(a.cls)) * open_
+    work = (np.bincount(a.member, weights=found, minlength=len(a.cls)) + len(b.cls)) * open_
     step = (np.cumsum(work) // _STEP).astype(np.int64)
     for s in np.unique(step[open_]):
         queries = np.flatnonzero(open_ & (step == s))
@@ -367,7 +397,7 @@ class JaccardJoin:
         return self._opened
 
     def _find_pairs(self) -> DataFrame:
-        least = max(50, int(COMMON_SHARE * self.classes.count()))
+        least = max(LEAST_COMMON, int(COMMON_SHARE * self.classes.count()))
         found = (
             self.members.select(F.inline("common"))
             .groupBy("shingle")

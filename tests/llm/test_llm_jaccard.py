@@ -78,6 +78,24 @@ def test_groups_too_large_for_a_task_are_cut(spark, monkeypatch):
     assert sorted(got) == sorted(helpers.jaccard(rows, 3, 80))
 
 
+def test_common_shingles_are_found_and_cost_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "WINDOW_SHINGLES", 500)
+    monkeypatch.setattr(jaccard, "LEAST_COMMON", 4)
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(25))
+    rows = []
+    for i in range(60):
+        own = [f"d{i}x{j}" for j in range(rng.choice([10, 30, 90, 200]))]
+        for copy in range(rng.choice([1, 1, 2, 3])):
+            words = list(own)
+            if copy:
+                words[rng.randrange(len(words))] = f"c{i}y{copy}"
+            rows.append((len(rows), " ".join(words) + " " + passage))
+    joined, got = run(spark, rows, 3, 80)
+    assert sorted(got) == sorted(helpers.jaccard(rows, 3, 80))
+    assert joined.members.selectExpr("inline(common)").count() > 0
+
+
 def test_extra_columns_and_empty_tables(spark):
     docs = spark.createDataFrame([(7, "a b c", 1, "x"), (8, "a b c", 2, "y")], "size long, body string, cls int, tokens string")
     got = JaccardJoin(docs, id_col="size", text_col="body", k=3, percent=90).per_document().collect()
