@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from orderflow.workspace import materialize
 
 #: Rows of a source that share a cell of the running sum, at most about this many for one size class.
-CELL_ROWS = 20_000
+CELL_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:

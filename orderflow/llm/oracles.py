@@ -116,7 +116,7 @@ WITH docs AS (
   SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size::DOUBLE END AS rate FROM aims
 ), placed AS (
   SELECT d.*, source_size, target, rate, offs, row_number() OVER (PARTITION BY d.source ORDER BY length(bin(size)),
-    ('0x' || substr(tie, 1, 8))::BIGINT % ceil(n / 20000.0)::BIGINT, size, tie) AS upto
+    ('0x' || substr(tie, 1, 8))::BIGINT % ceil(n / 2000.0)::BIGINT, size, tie) AS upto
   FROM docs d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
 ), copied AS (
   SELECT *, least(floor(rate * upto + offs) - floor(rate * (upto - 1) + offs), ceil(rate))::BIGINT AS copies FROM placed
