@@ -138,36 +138,39 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
     most_rows: int = 2000,
-    most_labels: int = 200,
+    least_rows: int = 20,
     seed: int = 11,
     epochs: int = 12,
     width: int = 16,
     reject: float = 0.001,
 ) -> Model | None:
-    """A model from at most `most_rows` of the labelled rows, about as many of each label; None without any.
+    """A model of every label from about `most_rows` of the labelled rows, about as many of each label; None without any.
+
+    Of each label about `least_rows` are drawn, or all that there are, however many labels that makes.
 
     Rows without text or label teach nothing. The draw follows a hash of id and text, so
-    reruns agree. Of more than `most_labels` labels the most frequent are learned.
+    reruns agree.
     """
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_labels).collect()  # a bounded number of rows
+    counts = rows.groupBy("lang").count().collect()  # a row a label
     if not counts:
         return None
     span = 1 << 30
-    share = [(r["lang"], min(span, span * most_rows // (len(counts) * r["count"]))) for r in counts]
+    rows_drawn = max(most_rows, least_rows * len(counts))
+    share = [(r["lang"], min(span, span * rows_drawn // (len(counts) * r["count"]))) for r in counts]
     shares = rows.sparkSession.createDataFrame(share, "lang string, below long")
     sample = (
         rows.withColumn("draw", F.xxhash64(F.lit(seed), "id", F.md5("text")))
-        .join(F.broadcast(shares), "lang")  # `most_labels` rows at most
+        .join(F.broadcast(shares), "lang")  # a row a label
         .where(F.pmod("draw", F.lit(span)) < F.col("below"))
         .select("lang", "draw", "text")
     )
     drawn = (
         in_arrow(sample, _counted, "lang string, draw long, bucket array<smallint>, times array<int>")
         .orderBy("draw", "lang")
-        .limit(most_rows)
+        .limit(rows_drawn + rows_drawn // 4 + 100)  # far above what the draw gives, so that no label is cut off
         .toArrow()
     )
     if not drawn.num_rows:
