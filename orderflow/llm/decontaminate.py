@@ -125,7 +125,8 @@ def contamination(
 
     One row per row of `docs`: `id`, `key` (md5 of the text, null for null), `n_words`,
     `n_hit` (words inside an occurrence of a window), `n_items`, `items_sha256` (hex
-    of the sorted item ids as text, comma-joined) and `contaminated`. Null and empty
+    of the sorted item ids as text, comma-joined), `contaminated` and `longest` (words of
+    the longest window that it holds, 0 without any). Null and empty
     texts have no words; items without words have no window; items without an id make
     hits but are not listed; repeated rows each get their own result and repeated items
     count once. Other columns are ignored. Empty tables give an empty or a clean result.
@@ -157,7 +158,7 @@ def contamination(
         hits.withColumn("end", F.col("at") + F.col("len"))
         .withColumn("reached", F.coalesce(F.max("end").over(before), F.lit(0)))
         .groupBy("key")
-        .agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("at", "reached"))).alias("n_hit"))
+        .agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("at", "reached"))).alias("n_hit"), F.max("len").alias("longest"))
     )
     named = (
         hits.select("key", "len", "h1", "h2")
@@ -182,4 +183,5 @@ def contamination(
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"),
+        F.coalesce("longest", F.lit(0)).cast("long").alias("longest"),
     )

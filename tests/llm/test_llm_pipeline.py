@@ -68,3 +68,11 @@ def test_queries_match_their_sql(spark, sf_dir, name):
     assert sorted(columns) == sorted(found.columns)
     assert rows_of(found.columns, found.collect()) == rows_of(columns, theirs.fetchall())
     assert isinstance(con, duckdb.DuckDBPyConnection)
+
+
+def test_a_short_item_drops_only_what_it_covers(spark, tmp_path):
+    spark.createDataFrame([(1, ITEM), (2, "the"), (3, "so it goes")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = ["the stone and the word", "The", "so it goes.", "so it goes on", f"the {ITEM}", "clean", None, "the " + " ".join(ITEM.split()[:9])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 5, 6, 7]
