@@ -45,8 +45,13 @@ _U = np.uint64
 
 
 def size_bands(percent: int) -> np.ndarray:
-    """First size of each band; sizes of two sets in a link lie in one band or in two neighbouring ones."""
+    """First size of each band; sizes of two sets in a link lie in one band or in two neighbouring ones.
+
+    At 100 linked sets are equal, so one band is enough.
+    """
     firsts = [1]
+    if percent >= 100:
+        return np.array(firsts)
     while firsts[-1] < 1 << 40:
         firsts.append(firsts[-1] * 100 // percent + 1)
     return np.array(firsts)

@@ -114,6 +114,13 @@ def test_bands_keep_partners_next_to_each_other():
             assert band(most) - band(size) <= 1
 
 
+def test_equal_sets_only(spark):
+    rows = [(1, "a b c d"), (2, "a b c d e"), (3, "A  b c d"), (4, None), (5, ""), (6, "a b c d e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in JaccardJoin(docs, k=3, percent=100).per_document().select("id", "size", "links", "component_id").collect()]
+    assert sorted(got) == sorted(helpers.jaccard(rows, 3, 100))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 500), (None, 3)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
