@@ -185,6 +185,54 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
 
+#: Checksum (CRC-32, reflected polynomial 0xEDB88320) by a table that the rule fills.
+_CRC = """
+bits AS (
+  SELECT list(v ORDER BY b) AS crc_table FROM (
+    SELECT b, list_reduce(list_concat([b], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(0, 256) r(b))
+)
+"""
+
+
+def _crc(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a text without null; `crc_table` must be in scope."""
+    octets = f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: ('0x' || substr(hex(encode({text})), (2 * i - 1)::BIGINT, 2))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295], {octets}), lambda c, o: xor(c >> 8, crc_table[(xor(c & 255, o) + 1)::BIGINT])), 4294967295)"
+
+
+_SPELLING = rf"""
+WITH RECURSIVE {_CRC}, found AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all({_LOW}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), hashed AS (
+  SELECT run, {_crc("(id || ':' || run)")} AS h FROM found, bits WHERE length(run) >= 7
+), words AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), less AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), near AS (
+  SELECT word, count(*) AS n_near, max(m) AS most FROM pairs GROUP BY word
+), firsts AS (
+  SELECT p.word, min(other) AS first FROM pairs p JOIN near USING (word) WHERE m = most GROUP BY p.word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= 10 * n THEN first END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM words w LEFT JOIN near USING (word) LEFT JOIN firsts USING (word)
+), chains AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL
+  SELECT c.word, f.form, steps + 1 FROM chains c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN (SELECT word, max_by(root, steps) AS root FROM chains GROUP BY word) USING (word)
+"""
+
 ORACLES = {
     "op2_chat_calls": _CHAT,
     "op3_decontamination": _CONTAMINATION,
@@ -193,4 +241,5 @@ ORACLES = {
     "op7_shards": _SHARDS,
     "op9_url_filter": _URLS,
     "op10_topk": _TOPK,
+    "op13_spelling": _SPELLING,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, langid, secrets, toxicity, urlfilter
+from orderflow.llm import chat, langid, secrets, spelling, toxicity, urlfilter
 from orderflow.llm.decontaminate import contamination
 from orderflow.llm.jaccard import JaccardJoin
 from orderflow.llm.mixing import mixture, word_count
@@ -214,6 +214,12 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent word that each is probably a variant of."""
+    found = spelling.variants(_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_chat_calls": op2_chat_calls,
@@ -225,4 +231,5 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_topk": op10_topk,
+    "op13_spelling": op13_spelling,
 }

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.tasks import in_arrow
@@ -166,8 +166,7 @@ def _search(batches):
                 continue
             if scan is None:
                 scan = Scan(entries)
-            least = half(len(key) - 1, len(key)) if len(key) > SHORTEST else half(len(key), len(key))
-            least = min(least, half(len(key), len(key)))
+            least = half(len(key), len(key))  # of all lengths that a near word can have
             lo, hi = bisect_left(entries, key[:least]), bisect_left(entries, key[:least] + _LAST)
             found, best = 0, None
             for i in scan.near(key, lo, hi):
@@ -192,6 +191,11 @@ def _search(batches):
     yield flush()
 
 
+def _heavy(placed: DataFrame, most: int) -> DataFrame:
+    counts = placed.groupBy("back", "piece").count().where(F.col("count") > most)
+    return materialize(counts.select("back", "piece"), "spelling-heavy")
+
+
 def pieces(lists: DataFrame, most: int) -> tuple[DataFrame, dict[bool, list[str]]]:
     """`lists` (`back`, `key`, `n`) with the `piece` of each entry, and the pieces of each list's cut heads.
 
@@ -199,9 +203,8 @@ def pieces(lists: DataFrame, most: int) -> tuple[DataFrame, dict[bool, list[str]
     them have. Heads that aren't cut need no list; the others have about entries / `most` pieces, which is
     what reaches the driver.
     """
-    cut = F.lit(_HEAD)
     placed = materialize(lists.withColumn("piece", F.substring("key", 1, _HEAD)), "spelling-lists")
-    heavy = placed.groupBy("back", "piece").count().where(F.col("count") > most).select("back", "piece")
+    heavy = _heavy(placed, most)
     split: dict[bool, list[str]] = {False: [], True: []}
     rest, done, width = placed, None, _HEAD
     while heavy.limit(1).count():
@@ -211,16 +214,12 @@ def pieces(lists: DataFrame, most: int) -> tuple[DataFrame, dict[bool, list[str]
         width += 1
         longer = F.substring(F.col("key"), F.lit(1), F.lit(width))
         rest = materialize(inside.withColumn("piece", longer), "spelling-pieces")
-        full = F.length("piece") < width
-        heavy = rest.where(~full).groupBy("back", "piece").count().where(F.col("count") > most).select("back", "piece")
-    del cut
+        heavy = _heavy(rest.where(F.length("piece") == width), most)
     if done is None:
         return placed, split
     every = done.unionByName(rest)
     for row in every.where(F.length("piece") > _HEAD).select("back", "piece").distinct().toLocalIterator():
         split[row["back"]].append(row["piece"])
-    whole = every.where(F.length("piece") == _HEAD).select("back", "piece").distinct()
-    del whole
     return every, {side: sorted(found) for side, found in split.items()}
 
 
@@ -243,8 +242,6 @@ def near_words(words: DataFrame, most: int = PIECE_WORDS) -> DataFrame:
     )
     order = rows.repartition("back", "piece").sortWithinPartitions("back", "piece", "asks", "key")
     found = in_arrow(order, _search, "word string, n_near long, form_n long, form string")
-    best = F.max_by(F.col("form"), F.struct(F.col("form_n")))
-    del best
     ranked = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("form_n")).alias("less"), "form")).alias("first"))
     return ranked.select("word", "n_near", (-F.col("first.less")).alias("form_n"), F.col("first.form").alias("form"))
 
@@ -287,8 +284,3 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     )
     ends = roots(found.where("form is not null"))
     return found.join(ends, "word", "left").withColumn("root", F.coalesce(F.col("root"), F.col("word")))
-
-
-def form_of(column: str) -> Column:
-    """The word itself where it has no form."""
-    return F.coalesce(F.col("form"), F.col(column))
