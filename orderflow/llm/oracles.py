@@ -233,6 +233,67 @@ WITH RECURSIVE {_CRC}, found AS (
 SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN (SELECT word, max_by(root, steps) AS root FROM chains GROUP BY word) USING (word)
 """
 
+_TRIE = f"""
+WITH RECURSIVE {_CRC}, turns AS (
+  SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), shared AS (
+  SELECT c, l, ({_crc("c::VARCHAR")} % 6)::BIGINT AS h FROM turns, bits
+), rebuilt AS (
+  SELECT s.c, list_concat(coalesce(b.l[1:h], []), s.l[h + 1:]) AS l FROM shared s LEFT JOIN turns b ON b.c = s.c - s.c % 100
+), starts AS (
+  SELECT c, len(l) AS n, d, l[1:d] AS p FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE length(any_value(p[d].text)) END AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM starts GROUP BY p, d
+), children AS (
+  SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), own AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (p)
+), totals AS (
+  SELECT p[1:a] AS p, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own) GROUP BY ALL
+)
+SELECT o.conv_id, o.d AS depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+FROM own o JOIN totals USING (p) LEFT JOIN nodes u ON o.d > 0 AND u.p = o.p[1:o.d - 1]
+"""
+
+_FINGERPRINTS = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), paired AS (
+  SELECT doc_id, text, length(text) AS n, coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id,
+    coalesce(lead(text) OVER o, first_value(text) OVER o) AS next_text
+  FROM docs WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, md5(text))
+), edits AS (
+  SELECT *, substr(text, 1, n - n // 3) || substr(next_text, 1, n // 3) AS edited FROM paired
+), versions AS (
+  SELECT doc_id, false AS e, text FROM edits UNION ALL SELECT doc_id, true, edited FROM edits
+), letters AS (
+  SELECT doc_id, e, unnest(c) AS c, unnest(range(1, len(c) + 1)) AS i FROM (SELECT doc_id, e, regexp_extract_all(text, '(?s).') AS c FROM versions)
+), inner_runs AS (
+  SELECT doc_id, e, i, c || lead(c, 1) OVER w || lead(c, 2) OVER w || lead(c, 3) OVER w || lead(c, 4) OVER w || lead(c, 5) OVER w AS s
+  FROM letters WINDOW w AS (PARTITION BY doc_id, e ORDER BY i)
+), runs AS (
+  SELECT doc_id, e, i, s, lead(s, 18) OVER w AS last, s || lead(s, 6) OVER w || lead(s, 12) OVER w || lead(s, 18) OVER w AS run,
+    min(s) OVER (PARTITION BY doc_id, e ORDER BY i ROWS BETWEEN CURRENT ROW AND 18 FOLLOWING) AS least
+  FROM inner_runs WINDOW w AS (PARTITION BY doc_id, e ORDER BY i)
+), anchors AS (
+  SELECT doc_id, e, i, printf('%02x', coalesce(least(i - lag(i) OVER (PARTITION BY doc_id, e ORDER BY i), 255), 0)) || substr(md5(run), 1, 6) AS t
+  FROM runs WHERE run IS NOT NULL AND least(s, last) = runs.least
+), listed AS (
+  SELECT v.doc_id, v.e, CASE WHEN count(t) > 0 THEN list(t ORDER BY i) WHEN any_value(text) = '' THEN [] ELSE ['00' || substr(md5(any_value(text)), 1, 6)] END AS t
+  FROM versions v LEFT JOIN anchors a ON v.doc_id = a.doc_id AND v.e = a.e GROUP BY v.doc_id, v.e
+), joined AS (
+  SELECT p.doc_id, p.n, p.edited, o.t AS own, c.t AS changed, x.t AS others FROM edits p
+  JOIN listed o ON o.doc_id = p.doc_id AND NOT o.e JOIN listed c ON c.doc_id = p.doc_id AND c.e JOIN listed x ON x.doc_id = p.next_id AND NOT x.e
+)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, array_to_string(own, '') AS fingerprint, array_to_string(changed, '') AS edited_fingerprint,
+  CASE WHEN len(own) + len(changed) = 0 THEN 1 ELSE len(list_intersect(own, changed))::DOUBLE / len(list_distinct(list_concat(own, changed))) END AS near_edited,
+  CASE WHEN len(own) + len(others) = 0 THEN 1 ELSE len(list_intersect(own, others))::DOUBLE / len(list_distinct(list_concat(own, others))) END AS near_next
+FROM joined
+"""
+
 ORACLES = {
     "op2_chat_calls": _CHAT,
     "op3_decontamination": _CONTAMINATION,
@@ -241,5 +302,7 @@ ORACLES = {
     "op7_shards": _SHARDS,
     "op9_url_filter": _URLS,
     "op10_topk": _TOPK,
+    "op11_fingerprints": _FINGERPRINTS,
+    "op12_prefix_trie": _TRIE,
     "op13_spelling": _SPELLING,
 }

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, langid, secrets, spelling, toxicity, urlfilter
+from orderflow.llm import chat, langid, secrets, spelling, syncmers, toxicity, urlfilter
 from orderflow.llm.decontaminate import contamination
 from orderflow.llm.jaccard import JaccardJoin
 from orderflow.llm.mixing import mixture, word_count
 from orderflow.llm.sharding import shard
 from orderflow.llm.topk import search
+from orderflow.llm.trie import prefix_trie
 
 SHARDS = [f"shard-{i:03d}" for i in range(32)]
 SLOTS = 4099
@@ -214,6 +215,16 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and how alike they are."""
+    return syncmers.fingerprints(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations, with totals of what lies below."""
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with the more frequent word that each is probably a variant of."""
     found = spelling.variants(_table(spark, sf_dir, "documents"))
@@ -231,5 +242,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_topk": op10_topk,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling": op13_spelling,
 }

@@ -6,16 +6,18 @@ reversed words among those with its last half. A scan keeps the rows of the band
 of the word so far, takes up at the prefix that neighbouring entries share, and jumps over all
 entries with a prefix that is more than one edit away.
 
-The lists are cut at prefixes into pieces of at most `most` words, so that no task holds more,
-however many words begin alike. Words are sent to the pieces whose prefix is within one edit.
+The lists are cut at prefixes into pieces of at most `most` words, however many words begin alike, and
+pieces stand on shelves, of which a task holds one at a time. Words are sent to the shelves with a
+piece whose prefix is within one edit.
 """
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left
-from collections.abc import Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +31,16 @@ SHORTEST = 7
 LEAST = 2
 ONE_IN = 31
 RATIO = 10
-#: Words of a piece of a sorted list at most, unless they have one prefix of full length.
-PIECE_WORDS = 20_000
-#: Letters that the halves of two words near to each other share at least; pieces begin with as many.
-_HEAD = 3
+#: Words of a piece of a sorted list at most.
+PIECE_WORDS = 10_000
+#: Words of a shelf, which holds whole pieces, about; a task holds one shelf at a time.
+SHELF_WORDS = 20_000
+#: Words looked up at a time.
+BLOCK = 8_192
 #: Behind every letter, so that prefix + _LAST ends the range of a prefix.
 _LAST = chr(0x10FFFF)
+#: Letters that the halves of two words near to each other share at least; pieces begin with as many.
+_HEAD = 3
 
 
 def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -62,133 +68,166 @@ def half(shorter: int, longer: int) -> int:
     return (longer - 1 if shorter == longer else longer) // 2
 
 
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all words behind one another, and where each word begins and how long it is."""
+    flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    return flat, np.cumsum(size) - size, size
+
+
 class Scan:
-    """Sorted entries to look words up in, with the length of the prefix each shares with the one before."""
+    """Sorted entries to look words up in, with the length of the prefix each shares with the one before.
+
+    Entries with a common prefix are a range. The rows of the edit matrix belong to a word and such a
+    range, so they are worked out once for all its entries, and for a block of words at a time.
+    """
 
     def __init__(self, entries: list[str]):
         self.entries = entries
-        self.shared = [0] * len(entries)
-        for i in range(1, len(entries)):
-            a, b, n = entries[i - 1], entries[i], 0
-            most = min(len(a), len(b))
-            while n < most and a[n] == b[n]:
-                n += 1
-            self.shared[i] = n
-
-    def near(self, word: str, lo: int, hi: int, whole: bool = True) -> Iterator[int]:
-        """Places in [lo, hi) of entries at most one edit from `word`, or with `whole` false, from a beginning of it.
-
-        Row d of the edit matrix belongs to an entry's first d letters and holds three cells,
-        for d - 1, d and d + 1 letters of the word; 2 stands for two and more.
+        self.flat, self.first, self.size = _letters(entries)
+        self.shared = np.zeros(len(entries), np.int64)
+        alive, d = np.arange(1, len(entries)), 0
+        while len(alive):
+            alive = alive[(self.size[alive] > d) & (self.size[alive - 1] > d)]
+            alive = alive[self.flat[self.first[alive] + d] == self.flat[self.first[alive - 1] + d]]
+            d += 1
+            self.shared[alive] = d
+        #: Ranges looked at, to tell how much was skipped.
+        self.opened = 0
+
+    def near(self, words: list[str], exact: np.ndarray, whole: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of words and of entries at most one edit from them, and the length of the prefix both share.
+
+        With `whole` false, entries at most one edit from a beginning of the word. The first `exact[i]` letters
+        of a word and its entry must be equal. Row d of the edit matrix belongs to the first d letters of a range
+        and has three cells, for d - 1, d and d + 1 letters of the word; 2 stands for two and more.
         """
-        n, i = len(word), lo
-        rows = [(2, 0, 1)]
-        while i < hi:
-            entry = self.entries[i]
-            dead = 0
-            del rows[(min(self.shared[i], len(rows) - 1) if i > lo else 0) + 1 :]
-            for d in range(len(rows), len(entry) + 1):
-                letter = entry[d - 1]
-                less, same, more = rows[-1]
-                # cells of row d: word letters d-1, d, d+1
-                a = min(same + 1, less + (d < 2 or d - 1 > n or word[d - 2] != letter)) if 0 <= d - 1 <= n else 2
-                b = min(same + (word[d - 1] != letter), more + 1, a + 1) if d <= n else 2
-                c = min(more + (word[d] != letter), b + 1) if d + 1 <= n else 2
-                row = (min(a, 2), min(b, 2), min(c, 2))
-                if min(row) > 1:
-                    dead = d
-                    break
-                rows.append(row)
-            if dead:  # skip every entry with the same first `dead` letters
-                i += 1
-                while i < hi and self.shared[i] >= dead:
-                    i += 1
-                continue
-            less, same, more = rows[len(entry)]
-            if not whole:
-                if min(less, same, more) <= 1:
-                    yield i
-            elif (gap := n - len(entry)) in (-1, 0, 1) and (less, same, more)[gap + 1] <= 1:
-                yield i
-            i += 1
-
-
-def _shared(a: str, b: str) -> int:
-    n = 0
-    while n < len(a) and n < len(b) and a[n] == b[n]:
-        n += 1
-    return n
-
-
-def _route(split: list[str]):
-    """Task that sends each word to the pieces it must be looked up in; `split` lists the pieces of cut heads."""
+        flat, first, size = _letters(words)
+        flat = np.append(flat, np.uint32(0))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def letter(word: np.ndarray, at: int) -> np.ndarray:
+            """The letter at a place of each word; 0, which no entry holds, outside of it."""
+            inside = (size[word] > at) & (at >= 0)
+            return np.where(inside, flat[np.where(inside, first[word] + at, len(flat) - 1)], 0)
+
+        d = int(exact.min(initial=1 << 30)) if len(words) else 0
+        ranges = {w[:d]: (bisect_left(self.entries, w[:d]), bisect_left(self.entries, w[:d] + _LAST)) for w in words}
+        lo, hi = np.array([ranges[w[:d]] for w in words], np.int64).reshape(-1, 2).T
+        word = np.flatnonzero((lo < hi) & (size >= d))
+        lo, hi = lo[word], hi[word]
+        less, same, more = (np.full(len(word), v, np.int8) for v in (1 if d else 2, 0, 1))
+        prefix = np.full(len(word), d)
+        while len(word):
+            hit = self.size[lo] == d
+            if whole:
+                last = np.choose(np.clip(size[word] - d + 1, 0, 2), [less, same, more]) < 2
+                hit &= last & (np.abs(size[word] - d) < 2)
+            if hit.any():
+                found.append((word[hit], lo[hit], prefix[hit]))
+            # Ranges of d + 1 letters inside those of d letters.
+            cuts = np.flatnonzero(self.shared <= d)
+            starts = cuts[self.size[cuts] > d]
+            a, b = np.searchsorted(starts, lo), np.searchsorted(starts, hi)
+            parent = np.repeat(np.arange(len(word)), b - a)
+            lo = starts[np.arange(len(parent)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + a[parent]]
+            hi = np.append(cuts, len(self.entries))[np.searchsorted(cuts, lo, "right")]
+            word, less, same, more, prefix = word[parent], less[parent], same[parent], more[parent], prefix[parent]
+            self.opened += len(word)
+            own, n = self.flat[self.first[lo] + d], size[word]
+            d += 1
+            left = np.minimum(same + 1, less + (letter(word, d - 2) != own))
+            left = np.where((d - 1 <= n) & (left < 2), left, 2)
+            mid = np.minimum(np.minimum(same + (letter(word, d - 1) != own), more + 1), left + 1)
+            mid = np.where((d <= n) & (mid < 2), mid, 2)
+            right = np.minimum(more + (letter(word, d) != own), mid + 1)
+            right = np.where((d + 1 <= n) & (right < 2), right, 2)
+            # A range whose prefix is more than one edit away is skipped with all its entries.
+            keep = ((left < 2) | (mid < 2) | (right < 2)) & ((mid == 0) | (d > exact[word]))
+            word, lo, hi, prefix = word[keep], lo[keep], hi[keep], prefix[keep]
+            less, same, more = (x[keep].astype(np.int8) for x in (left, mid, right))
+            prefix[same == 0] = d
+        if not found:
+            nothing = np.zeros(0, np.int64)
+            return nothing, nothing, nothing
+        return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+
+
+def _shelf(piece: str, shelves: int) -> int:
+    return zlib.crc32(piece.encode()) % shelves
+
+
+def _route(split: list[str], shelves: int):
+    """Task that sends each word to the shelves it must be looked up in; `split` lists the pieces of cut heads."""
     heads: dict[str, Scan] = {head: Scan(list(group)) for head, group in groupby(split, key=lambda p: p[:_HEAD])}
 
     def run(batches):
         for batch in batches:
-            back, pieces, words = [], [], []
-            for side, word in zip(batch.column("back").to_pylist(), batch.column("key").to_pylist(), strict=True):
-                if (scan := heads.get(word[:_HEAD])) is None:
-                    found = [word[:_HEAD]]
+            cut: dict[str, list[str]] = {}
+            sent = []
+            for word in batch.column("key").to_pylist():
+                if (head := word[:_HEAD]) in heads:
+                    cut.setdefault(head, []).append(word)
                 else:
-                    found = [scan.entries[i] for i in scan.near(word, 0, len(scan.entries), whole=False)]
-                back += [side] * len(found)
-                pieces += found
-                words += [word] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(back, pa.bool_()), pa.array(pieces, pa.string()), pa.array(words, pa.string())], ["back", "piece", "key"])
+                    sent.append((_shelf(head, shelves), word))
+            for head, words in cut.items():
+                scan = heads[head]
+                at, place, _ = scan.near(words, np.full(len(words), _HEAD), whole=False)
+                sent += {(_shelf(scan.entries[j], shelves), words[i]) for i, j in zip(at.tolist(), place.tolist(), strict=True)}
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in sent], pa.int32()), pa.array([x[1] for x in sent], pa.string())], ["shelf", "key"])
 
     return run
 
 
-def _better(a: tuple[int, str] | None, n: int, word: str) -> tuple[int, str]:
-    return (n, word) if a is None or n > a[0] or n == a[0] and word < a[1] else a
+_FOUND = pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("form_n", pa.int64()), ("form", pa.string())])
+
+
+def _near(scan: Scan, counts: list[int], keys: list[str], back: bool) -> pa.RecordBatch:
+    """Number of near words and the first of them by count for each key that has any in this list."""
+    size = np.fromiter(map(len, keys), np.int64, len(keys))
+    best: dict[int, list] = {}
+    at, place, prefix = scan.near(keys, (size - 1) // 2)
+    for i, j, p in zip(at.tolist(), place.tolist(), prefix.tolist(), strict=True):
+        key, other = keys[i], scan.entries[j]
+        m = half(*sorted((len(key), len(other))))
+        # Pairs that share their first half belong to the forward list, the others to the list of reversed words.
+        if key == other or p < m or back and key[-m:] == other[-m:]:
+            continue
+        word = other[::-1] if back else other
+        if (known := best.get(i)) is None:
+            best[i] = [1, counts[j], word]
+            continue
+        known[0] += 1
+        if (-counts[j], word) < (-known[1], known[2]):
+            known[1:] = counts[j], word
+    rows = {"word": [keys[i][::-1] if back else keys[i] for i in best]}
+    rows |= {name: [b[k] for b in best.values()] for k, name in enumerate(("n_near", "form_n", "form"))}
+    return pa.RecordBatch.from_pydict(rows, schema=_FOUND)
 
 
 def _search(batches):
-    """Near words of the looked-up words of each piece; a piece's entries come first, sorted, then the words."""
-    piece, entries, counts, scan = None, [], [], None
-    out = {"word": [], "n_near": [], "form_n": [], "form": []}
-
-    def flush():
-        made = pa.RecordBatch.from_pydict(out, schema=pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("form_n", pa.int64()), ("form", pa.string())]))
-        for values in out.values():
-            values.clear()
-        return made
-
+    """Near words of the looked-up words of each shelf; a shelf's entries come first, sorted, then the words."""
+    shelf, entries, counts, scan = None, [], [], None
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("back", "piece", "asks", "key", "n"))
+        columns = [batch.column(c).to_pylist() for c in ("back", "shelf", "asks", "key", "n")]
+        keys: list[str] = []
         for back, at, asks, key, n in zip(*columns, strict=True):
-            if piece != (back, at):
-                piece, entries, counts, scan = (back, at), [], [], None
+            if shelf != (back, at):
+                if keys:
+                    yield _near(scan, counts, keys, shelf[0])
+                shelf, entries, counts, scan, keys = (back, at), [], [], None, []
             if not asks:
                 entries.append(key)
                 counts.append(n)
                 continue
             if scan is None:
                 scan = Scan(entries)
-            least = half(len(key), len(key))  # of all lengths that a near word can have
-            lo, hi = bisect_left(entries, key[:least]), bisect_left(entries, key[:least] + _LAST)
-            found, best = 0, None
-            for i in scan.near(key, lo, hi):
-                other = entries[i]
-                if other == key:
-                    continue
-                m = half(*sorted((len(key), len(other))))
-                if back:  # pairs that share their first half belong to the other list
-                    if _shared(key, other) < m or _shared(key[::-1], other[::-1]) >= m:
-                        continue
-                elif _shared(key, other) < m:
-                    continue
-                found += 1
-                best = _better(best, counts[i], other[::-1] if back else other)
-            if found:
-                out["word"].append(key[::-1] if back else key)
-                out["n_near"].append(found)
-                out["form_n"].append(best[0])
-                out["form"].append(best[1])
-                if len(out["word"]) >= 10_000:
-                    yield flush()
-    yield flush()
+            keys.append(key)
+            if len(keys) == BLOCK:
+                yield _near(scan, counts, keys, back)
+                keys = []
+        if keys:
+            yield _near(scan, counts, keys, shelf[0])
 
 
 def _heavy(placed: DataFrame, most: int) -> DataFrame:
@@ -233,14 +272,15 @@ def near_words(words: DataFrame, most: int = PIECE_WORDS) -> DataFrame:
         words.select(F.lit(True).alias("back"), F.reverse("word").alias("key"), "n")
     )
     placed, split = pieces(lists, most)
+    shelves = max(1, 2 * words.count() // SHELF_WORDS)
+    entries = placed.select("back", (F.crc32("piece") % shelves).cast("int").alias("shelf"), F.lit(False).alias("asks"), "key", "n")
     asked = None
     for back in (False, True):
-        sent = in_arrow(lists.where(F.col("back") == F.lit(back)).select("back", "key"), _route(split[back]), "back boolean, piece string, key string")
+        sent = in_arrow(lists.where(F.col("back") == F.lit(back)).select("key"), _route(split[back], shelves), "shelf int, key string")
+        sent = sent.select(F.lit(back).alias("back"), "shelf", F.lit(True).alias("asks"), "key", F.lit(None).cast("long").alias("n"))
         asked = sent if asked is None else asked.unionByName(sent)
-    rows = placed.select("back", "piece", F.lit(False).alias("asks"), "key", "n").unionByName(
-        asked.select("back", "piece", F.lit(True).alias("asks"), "key", F.lit(None).cast("long").alias("n"))
-    )
-    order = rows.repartition("back", "piece").sortWithinPartitions("back", "piece", "asks", "key")
+    rows = entries.unionByName(asked)
+    order = rows.repartition(2 * shelves, "back", "shelf").sortWithinPartitions("back", "shelf", "asks", "key")
     found = in_arrow(order, _search, "word string, n_near long, form_n long, form string")
     ranked = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("form_n")).alias("less"), "form")).alias("first"))
     return ranked.select("word", "n_near", (-F.col("first.less")).alias("form_n"), F.col("first.form").alias("form"))

@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from orderflow.llm import spelling
@@ -87,16 +88,23 @@ def test_hot_head_is_cut_and_words_meet_their_pieces_only(spark):
 def test_scan_jumps_over_ranges():
     words = sorted(["aaaaaaa", *(f"b{i:06d}" for i in range(2000)), "caaaaaa"])
     scan = Scan(words)
-    looked = []
+    at, place, prefix = scan.near(["aaaaaaa", "zzz"], np.array([0, 0]))
+    assert [(i, words[j], p) for i, j, p in zip(at, place, prefix, strict=True)] == [(0, "aaaaaaa", 7), (0, "caaaaaa", 0)]
+    assert scan.opened < 60
 
-    class Seen(list):
-        def __getitem__(self, i):
-            looked.append(i)
-            return super().__getitem__(i)
 
-    scan.entries = Seen(words)
-    assert [words[i] for i in scan.near("aaaaaaa", 0, len(words))] == ["aaaaaaa", "caaaaaa"]
-    assert len(looked) < 20
+def test_scan_equals_edit_distance():
+    rnd = random.Random(9)
+    words = sorted({"".join(rnd.choice("abé") for _ in range(rnd.randrange(0, 7))) for _ in range(300)} - {""})
+    asked = ["".join(rnd.choice("abé") for _ in range(rnd.randrange(1, 8))) for _ in range(100)]
+    scan = Scan(words)
+    for exact in (0, 1, 2):
+        at, place, _ = scan.near(asked, np.full(len(asked), exact))
+        want = {(i, j) for i, a in enumerate(asked) for j, w in enumerate(words) if (a == w or one_edit(a, w)) and a[:exact] == w[:exact] and min(len(a), len(w)) >= exact}
+        assert set(zip(at.tolist(), place.tolist(), strict=True)) == want
+    at, place, _ = scan.near(asked, np.zeros(len(asked), int), whole=False)
+    want = {(i, j) for i, a in enumerate(asked) for j, w in enumerate(words) if any(a[:n] == w or one_edit(a[:n], w) for n in range(len(a) + 1))}
+    assert set(zip(at.tolist(), place.tolist(), strict=True)) == want
 
 
 def test_long_words_chains_and_empty_tables(spark):
