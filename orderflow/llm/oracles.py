@@ -279,7 +279,7 @@ WITH docs AS (
     min(s) OVER (PARTITION BY doc_id, e ORDER BY i ROWS BETWEEN CURRENT ROW AND 18 FOLLOWING) AS least
   FROM inner_runs WINDOW w AS (PARTITION BY doc_id, e ORDER BY i)
 ), anchors AS (
-  SELECT doc_id, e, i, printf('%02x', coalesce(least(i - lag(i) OVER (PARTITION BY doc_id, e ORDER BY i), 255), 0)) || substr(md5(run), 1, 6) AS t
+  SELECT doc_id, e, i, printf('%02x', least(coalesce(i - lag(i) OVER (PARTITION BY doc_id, e ORDER BY i), 0), 255)) || substr(md5(run), 1, 6) AS t
   FROM runs WHERE run IS NOT NULL AND least(s, last) = runs.least
 ), listed AS (
   SELECT v.doc_id, v.e, CASE WHEN count(t) > 0 THEN list(t ORDER BY i) WHEN any_value(text) = '' THEN [] ELSE ['00' || substr(md5(any_value(text)), 1, 6)] END AS t
