@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.operators.cumulative import cumulative_counts
+from orderflow.operators.quantiles import exact_quantiles
+from orderflow.sources.layers import replace_partitions
 
 # Bins of a feature, smallest share of a bin, index of the NULL bin.
 N_BINS = 10
@@ -18,19 +21,12 @@ NULL_BIN = -1
 _INF = float("inf")
 
 
-def bin_edges(base: DataFrame, cols: Sequence[str], n: int = N_BINS,
-              accuracy: int = 10_000) -> DataFrame:
-    """Inner quantile edges per column: (feature, edges), all columns in one aggregation."""
-    probabilities = [i / n for i in range(1, n)]
-    row = base.agg(
-        *[
-            F.array_distinct(
-                F.percentile_approx(F.col(c).cast("double"), probabilities, accuracy)
-            ).alias(c)
-            for c in cols
-        ]
-    )
-    return row.unpivot([], list(cols), "feature", "edges")
+def bin_edges(base: DataFrame, cols: Sequence[str], n: int = N_BINS) -> DataFrame:
+    """Distinct inner quantiles per column, exact: (feature, edges); a column without numbers has none."""
+    found = exact_quantiles(base, cols, n).groupBy("feature").agg(F.array_sort(F.collect_set("edge")).alias("edges"))
+    names = base.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    nothing = F.array().cast("array<double>")
+    return names.join(found, "feature", "left").select("feature", F.coalesce("edges", nothing).alias("edges"))
 
 
 def edges_map(edges: DataFrame) -> dict[str, list[float]]:
@@ -94,6 +90,86 @@ def psi(base: DataFrame, cur: DataFrame, edges: Mapping[str, Sequence[float]]) -
     )
 
 
+def binned_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], categories: Sequence[str] = (),
+                  by: Sequence[str] = ()) -> DataFrame:
+    """Rows per (by, feature, bin) in one pass; a bin is named by its range's index, a category by its value.
+
+    NULL has a bin of its own, named NULL. An aggregated row exists only per group, feature and bin.
+    """
+    cols = list(edges)
+    places = [f"_bin_{i}" for i in range(len(cols))]
+    rows = df.select(
+        *by, *[F.col(c).cast("double").alias(f"_num_{i}") for i, c in enumerate(cols)],
+        *[F.col(c).cast("string").alias(f"_cat_{i}") for i, c in enumerate(categories)],
+    )
+    if cols:
+        rows = Bucketizer(
+            splitsArray=[[-_INF, *(sorted(set(edges[c])) or [0.0]), _INF] for c in cols],
+            inputCols=[f"_num_{i}" for i in range(len(cols))],
+            outputCols=places,
+            handleInvalid="keep",
+        ).transform(rows)
+    named = [
+        F.struct(F.lit(c).alias("feature"), F.when(F.col(f"_num_{i}").isNotNull(), F.col(p).cast("int").cast("string")).alias("bin"))
+        for i, (c, p) in enumerate(zip(cols, places, strict=True))
+    ] + [F.struct(F.lit(c).alias("feature"), F.col(f"_cat_{i}").alias("bin")) for i, c in enumerate(categories)]
+    return (
+        rows.select(*by, F.explode(F.array(*named)).alias("_b"))
+        .groupBy(*by, F.col("_b.feature").alias("feature"), F.col("_b.bin").alias("bin"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def psi_by(base: DataFrame, cur: DataFrame, edges: Mapping[str, Sequence[float]], by: Sequence[str],
+           categories: Sequence[str] = ()) -> DataFrame:
+    """Population stability of every feature and group of `cur`, such as a day, against one baseline.
+
+    (by, feature, n_base, n_cur, psi). All groups and features come from one scan of each sample. A
+    group lacks most bins; the terms of those it lacks are the baseline's alone, so they are added up
+    once for each feature and no table of groups and bins is made.
+    """
+    keys = list(by)
+    known = binned_counts(base, edges, categories)
+    base_total = F.sum("n").over(Window.partitionBy("feature"))
+    expected = F.greatest(F.col("n") / base_total, F.lit(SHARE_FLOOR))
+    floor = F.lit(SHARE_FLOOR)
+    baseline = known.select(
+        F.col("feature").alias("_feature"), F.col("bin").alias("_bin"), expected.alias("_e"), base_total.alias("n_base"),
+    ).withColumn("_absent", (floor - F.col("_e")) * F.ln(floor / F.col("_e")))
+    totals = baseline.groupBy("_feature").agg(F.sum("_absent").alias("_absent_all"), F.max("n_base").alias("n_base"))
+
+    seen = binned_counts(cur, edges, categories, keys)
+    cur_total = F.sum("n").over(Window.partitionBy(*keys, "feature"))  # bins of one group
+    shares = seen.withColumn("n_cur", cur_total).withColumn("_c", F.greatest(F.col("n") / F.col("n_cur"), floor))
+    joined = shares.join(
+        baseline.select("_feature", "_bin", "_e", "_absent"),
+        (F.col("feature") == F.col("_feature")) & F.col("bin").eqNullSafe(F.col("_bin")), "left",
+    ).drop("_feature")
+    e = F.coalesce("_e", floor)
+    term = (F.col("_c") - e) * F.ln(F.col("_c") / e) - F.coalesce("_absent", F.lit(0.0))
+    return (
+        joined.groupBy(*keys, "feature")
+        .agg(F.max("n_cur").alias("n_cur"), F.sum(term).alias("_terms"))
+        .join(totals, F.col("feature") == F.col("_feature"), "left")
+        .select(*keys, "feature", F.coalesce("n_base", F.lit(0)).alias("n_base"), "n_cur", (F.col("_terms") + F.col("_absent_all")).alias("psi"))
+    )
+
+
+def monitor_days(base: DataFrame, cur: DataFrame, edges: Mapping[str, Sequence[float]], limits: DataFrame, out: str,
+                 days: Sequence[date], day_col: str, partition: str, categories: Sequence[str] = ()) -> list[date]:
+    """Drift checks of every feature and day of `cur`, written as the partitions `days` of the table at `out`.
+
+    One job makes the checks of all days; a rerun replaces the same partitions, also those that became
+    empty, which it returns. `partition` is a column of `cur` such as the day itself or its month.
+    """
+    by = list(dict.fromkeys([day_col, partition]))
+    found = psi_by(base, cur, edges, by, categories)
+    statistics = found.select(
+        *by, F.lit("psi").alias("check"), F.col("feature").alias("subject"), F.col("psi").alias("observed"), "n_cur"
+    )
+    return replace_partitions(drift_checks(statistics, limits, [*by, "n_cur"]), out, days, partition)
+
+
 def _share(count: str, total: str):
     """Share of a bin, floored; NULL when the sample has no rows at all."""
     return F.when(F.col(total) > 0, F.greatest(F.col(count) / F.col(total), F.lit(SHARE_FLOOR)))
@@ -157,8 +233,8 @@ def feature_skew(served: DataFrame, mart: DataFrame, key: str, cols: Sequence[st
     )
 
 
-def drift_checks(statistics: DataFrame, limits: DataFrame) -> DataFrame:
-    """Drift statistics against limits as check rows.
+def drift_checks(statistics: DataFrame, limits: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Drift statistics against limits as check rows, with the columns `keep` of the statistics.
 
     `statistics`: (check, subject, observed). `limits`: (check, warn, error),
     one row per kind of check. A statistic above `error` is an ERROR, above
@@ -170,6 +246,7 @@ def drift_checks(statistics: DataFrame, limits: DataFrame) -> DataFrame:
         F.when(unknown | (observed > error), "ERROR").when(observed > warn, "WARN").otherwise("OK")
     )
     return statistics.join(limits, "check", "left").select(
+        *keep,
         "check",
         "subject",
         F.lit("monitoring").alias("stage"),

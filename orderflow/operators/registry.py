@@ -197,48 +197,47 @@ def model_path_of(versions: DataFrame, history: DataFrame, name: str, alias: str
     return row["version"], row["model_path"]
 
 
-def alias_intervals(history: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Alias history as half-open intervals [valid_from, valid_to)."""
-    order = Window.partitionBy(*keys).orderBy("valid_from", "version")
-    return (
-        history.withColumn("valid_to", F.lead("valid_from").over(order))
-        .where(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
-    )
-
-
 def alias_as_of(events: DataFrame, history: DataFrame, ts_col: str,
-                keys: Sequence[str] = ("name", "alias")) -> DataFrame:
+                keys: Sequence[str] = ("name", "alias"), bucket: str = "hour") -> DataFrame:
     """Version behind the alias at the time of each event; NULL before the first one.
 
-    The intervals are laid onto the days on which events occur, a table of
-    days and switches. The events then join on (keys, day) and compare times
-    only with the intervals of their day, so a frequent alias is spread over
-    its days and no row meets the whole history.
+    Events and switches lie on one time axis per key, cut into buckets of time, and in a
+    bucket the last switch is carried along the sorted rows. What holds at the beginning of
+    a bucket comes as one more row from a table of buckets, in which only the last switch of
+    each is passed on. So no event and no bucket meets the whole history, and a frequent
+    alias is spread over its buckets. Of several switches at one time the largest version holds;
+    a switch holds for events of its own time. NULL keys and times have no version.
     """
-    keys = list(keys)
-    dated = events.withColumn("_day", F.to_date(ts_col))
-    days = dated.select(*keys, "_day").distinct()
-    next_day = F.date_add("_day", 1).cast("timestamp")
-    by_day = days.join(
-        alias_intervals(history, keys).select(*keys, "version", "valid_from", "valid_to"), keys
-    ).where(
-        (F.col("valid_from") < next_day)
-        & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("_day").cast("timestamp")))
-    )
-    slots = by_day.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.col("_day").alias("_slot"),
-        "version",
-        "valid_from",
-        "valid_to",
+    names = [f"_k{i}" for i in range(len(keys))]
+    same = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+    version = history.schema["version"].dataType
+    at = F.date_trunc(bucket, F.col("_ts"))
+
+    def on_axis(df: DataFrame, ts: str, kind: int, value, row) -> DataFrame:
+        return df.select(*same, F.col(ts).cast("timestamp").alias("_ts"), F.lit(kind).alias("_kind"), value.alias("_version"), row.alias("_row"))
+
+    shape = events.select(F.struct(*events.columns).alias("r")).schema["r"].dataType
+    nothing = F.lit(None).cast(shape)
+    rows = on_axis(events, ts_col, 1, F.lit(None).cast(version), F.struct(*events.columns)).withColumn("_at", at)
+    known = history.where(F.col("valid_from").isNotNull())
+    for key in keys:
+        known = known.where(F.col(key).isNotNull())
+    switches = on_axis(known, "valid_from", 0, F.col("version"), nothing).withColumn("_at", at)
+
+    last = switches.groupBy(*names, "_at").agg(F.max(F.struct("_ts", "_version"))["_version"].alias("_last"))
+    used = rows.select(*names, "_at").distinct().withColumn("_last", F.lit(None).cast(version))
+    buckets = last.unionByName(used).groupBy(*names, "_at").agg(F.max("_last").alias("_last"))
+    before = Window.partitionBy(*names).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    carried = buckets.select(
+        *names, F.lit(None).cast("timestamp").alias("_ts"), F.lit(0).alias("_kind"),
+        F.last("_last", ignorenulls=True).over(before).alias("_version"), nothing.alias("_row"), "_at",
     )
-    ts = F.col(ts_col)
-    same = [F.col(k) == F.col(f"_{k}") for k in keys]
-    condition = (
-        (F.col("_day") == F.col("_slot"))
-        & (F.col("valid_from") <= ts)
-        & (F.col("valid_to").isNull() | (ts < F.col("valid_to")))
+    order = (
+        Window.partitionBy(*names, "_at")
+        .orderBy(F.col("_ts").asc_nulls_first(), "_kind", "_version")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    for part in same:
-        condition = condition & part
-    return dated.join(slots, condition, "left").select(*events.columns, "version")
+    merged = rows.unionByName(switches).unionByName(carried)
+    found = merged.withColumn("_version", F.last("_version", ignorenulls=True).over(order))
+    found = found.where("_kind = 1").withColumn("_version", F.when(F.col("_ts").isNotNull(), F.col("_version")))
+    return found.select("_row.*", F.col("_version").alias("version"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +40,23 @@ def window_bounds(end: date, months: int) -> WindowBounds:
     return WindowBounds(date(year, month + 1, min(end.day, last_day)), end)
 
 
+def within(df: DataFrame, bounds: WindowBounds, ts_col: str, month_col: str | None = None) -> DataFrame:
+    """Rows inside the bounds; with `month_col`, the months outside are never read where that partitions the table."""
+    column = F.col(ts_col)
+    rows = df.where((column >= F.lit(bounds.start)) & (column < F.lit(bounds.end)))
+    if month_col:
+        last = bounds.end - timedelta(days=1)
+        month = F.col(month_col)
+        rows = rows.where((month >= F.lit(bounds.start.replace(day=1))) & (month <= F.lit(last.replace(day=1))))
+    return rows
+
+
 def training_window(
-    df: DataFrame, ts_col: str, end: date, months: int
+    df: DataFrame, ts_col: str, end: date, months: int, month_col: str | None = None
 ) -> tuple[DataFrame, WindowBounds]:
     """Rows of the rolling window and its bounds, to be recorded with the model."""
     bounds = window_bounds(end, months)
-    column = F.col(ts_col)
-    return df.where((column >= F.lit(bounds.start)) & (column < F.lit(bounds.end))), bounds
+    return within(df, bounds, ts_col, month_col), bounds
 
 
 def is_holdout(key: Column | str, seed: int, frac: float) -> Column:
@@ -75,13 +85,12 @@ def training_dataset(
     seed: int = 42,
     test_frac: float = 0.2,
     cutoff: date | None = None,
+    month_col: str | None = None,
 ) -> DataFrame:
     """Labelled rows of the window with a column `split` = 'train' or 'holdout'."""
     rows = mart.where(F.col(label).isNotNull())
     if window:
-        rows = rows.where(
-            (F.col(ts_col) >= F.lit(window.start)) & (F.col(ts_col) < F.lit(window.end))
-        )
+        rows = within(rows, window, ts_col, month_col)
     if split == "hash":
         holdout = is_holdout(key, seed, test_frac)
     elif split == "time" and cutoff:

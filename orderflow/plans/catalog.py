@@ -33,6 +33,7 @@ from orderflow.operators.drift import (
     edges_map,
     feature_skew,
     ks,
+    monitor_days,
     prediction_monitoring,
     psi,
     rate_shift,
@@ -42,6 +43,7 @@ from orderflow.operators.fingerprint import changed_partitions, dataset_fingerpr
 from orderflow.operators.gates import calibrate_threshold, champion_gate, quality_gate
 from orderflow.operators.lookup import with_lookup
 from orderflow.operators.metrics import evaluate, positive_rate, pr_auc, roc_auc, roc_curve
+from orderflow.operators.origin import origin_report
 from orderflow.operators.registry import (
     ALIAS_SCHEMA,
     CHAMPION,
@@ -66,7 +68,9 @@ from orderflow.operators.windows import (
     window_bounds,
 )
 from orderflow.plans.mart import (
+    DECLARED_ORIGINS,
     FEATURES,
+    FORBIDDEN_ORIGINS,
     LABEL,
     build_layers,
     feature_spec,
@@ -89,8 +93,6 @@ TODAY = date(1999, 6, 30)
 LAG_DAYS = 1000
 CUTOFF = date(1998, 1, 1)
 NUMERIC = feature_spec().numeric
-#: Finer than one row of the tables here, so that the edges are the exact quantiles.
-EDGE_ACCURACY = 1_000_000
 SCORE_EDGES = [20.0, 40.0, 60.0, 80.0, 100.0, 120.0]
 SCORE_CUTOFF = 100.0
 DRIFT_LIMITS = [("psi", 0.1, 0.25), ("positive_rate", 0.02, 0.05)]
@@ -186,6 +188,11 @@ def inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference_mart(features_of(spark, sf_dir))
 
 
+def feature_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source columns of every feature and whether they are known at purchase."""
+    return origin_report(features_of(spark, sf_dir), FEATURES, FORBIDDEN_ORIGINS, DECLARED_ORIGINS)
+
+
 def late_rate_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positive_rate(labelled_orders(spark, sf_dir), LABEL, "purchase_date")
 
@@ -475,7 +482,7 @@ def leakage_scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PSI of every numeric feature, with the deciles of the earlier sample as bins."""
     base, cur = time_split(features_layer(spark, sf_dir), "purchase_date", CUTOFF)
-    return psi(base, cur, edges_map(bin_edges(base, NUMERIC, accuracy=EDGE_ACCURACY)))
+    return psi(base, cur, edges_map(bin_edges(base, NUMERIC)))
 
 
 def psi_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,7 +495,7 @@ def ks_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bin_edges_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = bin_edges(features_layer(spark, sf_dir), NUMERIC, accuracy=EDGE_ACCURACY)
+    edges = bin_edges(features_layer(spark, sf_dir), NUMERIC)
     return edges.select("feature", F.posexplode("edges").alias("position", "edge"))
 
 
@@ -528,6 +535,18 @@ def drift_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_checks(drift_statistics(spark, sf_dir), limits)
 
 
+def drift_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature of every day since the cutoff against the days before it, written as months."""
+    features = features_layer(spark, sf_dir)
+    base, cur = time_split(features, "purchase_date", CUTOFF)
+    limits = spark.createDataFrame(DRIFT_LIMITS[:1], "check string, warn double, error double")
+    months = sorted(row["month"] for row in cur.select("month").distinct().collect())  # bounded by the calendar
+    out = run_dir(spark, "drift")
+    edges = edges_map(bin_edges(base, NUMERIC))
+    monitor_days(base, cur, edges, limits, out, months, "purchase_date", "month", feature_spec().categorical)
+    return spark.read.parquet(out)
+
+
 def drift_checks_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without limits for the positive rate, its check fails."""
     limits = spark.createDataFrame(DRIFT_LIMITS[:1], "check string, warn double, error double")
@@ -700,6 +719,7 @@ def retrain_trigger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCH_QUERIES: dict[str, Query] = {
     "mart_order_features": mart,
     "inference_mart": inference,
+    "feature_origins": feature_origins,
     "late_rate_by_month": late_rate_by_month,
     "late_rate_by_day": late_rate_by_day,
     "visible_as_of": visible_orders,
@@ -736,6 +756,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "feature_skew": feature_skew_served,
     "drift_checks": drift_check_rows,
     "drift_checks_gaps": drift_checks_gaps,
+    "drift_by_day": drift_by_day,
     "prediction_monitoring": prediction_monitoring_rows,
     "threshold_calibration": threshold_calibration,
     "quality_gate": quality_gate_rows,

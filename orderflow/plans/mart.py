@@ -16,6 +16,7 @@ from orderflow.functions.dates import date_parts, month_index, month_of
 from orderflow.functions.labels import late_label
 from orderflow.operators.cumulative import cumulative_counts
 from orderflow.operators.lookup import with_lookup
+from orderflow.operators.origin import assert_origins
 from orderflow.operators.training import FeatureSpec
 from orderflow.sources.layers import write_layer
 from orderflow.sources.roles import Roles
@@ -35,6 +36,11 @@ FEATURES = (*CALENDAR, *ORDER, *PRODUCT, *PARTIES)
 # Columns that are only known after the purchase, and aggregates of other marts.
 FORBIDDEN = ("delivery_*", "delivered_*", "review_*", "order_status", "mart_*")
 
+# Sources that are only known after the purchase, and the feature that may use them,
+# because it counts deliveries strictly before it.
+FORBIDDEN_ORIGINS = ("lineitem.l_shipdate", "*.delivered_at", "*.review_*", "*.order_status")
+DECLARED_ORIGINS = {"seller_late_rate_before": ("lineitem.l_shipdate", "*.delivered_at")}
+
 CATEGORICAL = ("order_priority", "customer_segment")
 NULLABLE = (
     "avg_price", "max_price", "avg_discount", "avg_retail_price", "max_size",
@@ -204,7 +210,7 @@ def order_features(roles: Roles, save: Save = lambda name, df: df) -> DataFrame:
         _ratio("late_before", "n_before").alias("seller_late_rate_before"),
         late_label().alias(LABEL),
     )
-    return assert_no_leakage(features)
+    return assert_origins(assert_no_leakage(features), FEATURES, FORBIDDEN_ORIGINS, DECLARED_ORIGINS)
 
 
 def build_layers(roles: Roles, root: str) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderflow.operators.feedback import read_performance, refresh_performance
 from orderflow.operators.fingerprint import changed_partitions, dataset_fingerprint
 from orderflow.operators.gates import champion_gate
+from orderflow.operators.loop import Loop, Rule, Tables
 from orderflow.operators.registry import (
     code_hash,
     config_hash,
@@ -41,11 +43,14 @@ from orderflow.operators.training import (
 from orderflow.operators.windows import parts, training_dataset, window_bounds
 from orderflow.plans.catalog import (
     CUTOFF,
+    LAG_DAYS,
     SEED,
     TEST_FRAC,
     Query,
     features_layer,
+    formula_predictions,
     scored_orders,
+    settled_orders,
 )
 from orderflow.plans.mart import LABEL, feature_spec, inference_mart, mart_order_features
 from orderflow.sources.layers import replace_partitions
@@ -149,7 +154,7 @@ def publish(spark: SparkSession, sf_dir: str) -> Registry:
     bounds = window_bounds(CUTOFF, 36)
     dataset = training_dataset(
         features_layer(spark, sf_dir), LABEL, KEY, "purchase_date", bounds, seed=SEED,
-        test_frac=TEST_FRAC,
+        test_frac=TEST_FRAC, month_col="month",
     )
     rows, holdout = parts(dataset)
     params = {"model": "gbt", "seed": SEED, **bounds.tags()}
@@ -232,6 +237,49 @@ def score_changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predictions(spark, out)
 
 
+#: Ends of months on which the loop runs; labels settle a thousand days after a purchase.
+LOOP_DAYS = [date(1999, 12, 31), date(2001, 6, 30), date(2002, 6, 30), date(2003, 6, 30), date(2004, 6, 30)]
+#: The features here say next to nothing about lateness inside a year, so performance is always below the
+#: limit, and the gate only refuses a candidate that is much worse than the champion.
+LOOP_RULE = Rule(
+    lag_days=1000, measure_days=270, limit=0.75, every_days=3650, cooldown_days=400, train_months=24,
+    min_roc_auc=0.1, min_pr_auc=0.01, tolerance=0.5,
+)
+
+
+def closed_loop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five runs of the loop, each made twice: measured drop, training, gate, promotion and backfill happen once."""
+    features = features_layer(spark, sf_dir)
+    tables = Tables(run_dir(spark, "loop"), MODEL_NAME)
+    loop = Loop(
+        features, materialize(settled_orders(spark, sf_dir), "facts"), tables, LOOP_RULE, fit_gbt, feature_spec(), KEY, LABEL,
+        ts_col="purchase_date", known_at="known_at", first_day=date(1998, 1, 1), day_col="month",
+    )
+    for today in LOOP_DAYS:
+        for _ in range(2):
+            loop.run(today, SCORED_AT)
+    return tables.read_state(spark).where("step = 'done'").drop("name", "step", "metric")
+
+
+def performance_refresh_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of predictions measured as labels arrive: what each of four runs rewrites, and the table they leave.
+
+    The third run repeats the second, and before the fourth an order of 1996 gets its label a year late.
+    """
+    predictions = materialize(formula_predictions(spark, sf_dir).drop("day").withColumnRenamed("month", "day"), "scores")
+    late = (F.year("known_at") == 1997) & (F.col(KEY) % 50 == 0)
+    facts = materialize(settled_orders(spark, sf_dir), "facts")
+    missing = facts.where(~late)
+    out = run_dir(spark, "performance")
+    rewritten = []
+    for n, (known, today) in enumerate(((missing, date(1999, 6, 30)), (missing, date(2000, 6, 30)), (missing, date(2000, 6, 30)), (facts, date(2000, 6, 30))), 1):
+        days = refresh_performance(predictions, known, out, KEY, LABEL, LAG_DAYS, today, known_at="known_at")
+        rewritten += [(n, day) for day in days]
+    runs = spark.createDataFrame(rewritten, "run long, day date")
+    table = read_performance(spark, out).drop("fingerprint")
+    return runs.groupBy("day").agg(F.array_join(F.array_sort(F.collect_list("run")), ",").alias("runs")).join(table, "day", "full")
+
+
 def replace_partitions_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months written once, then 1996 rerun: new scores, and March without rows."""
     out = run_dir(spark, "partitions")
@@ -261,5 +309,7 @@ MODEL_QUERIES: dict[str, Query] = {
     "score_days": score_days_rows,
     "backfill": backfill_rows,
     "score_changed": score_changed_rows,
+    "closed_loop": closed_loop_rows,
+    "performance_refresh": performance_refresh_rows,
     "replace_partitions": replace_partitions_rows,
 }

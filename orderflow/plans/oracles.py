@@ -90,6 +90,15 @@ _FEATURE_COLUMNS = """order_id, strftime(purchase_date, '%Y-%m-%d') AS purchase_
   round(same_nation_share, 6) AS same_nation_share,
   round(seller_late_rate_before, 6) AS seller_late_rate_before"""
 
+FACTS = ORDERS + """,
+facts AS (
+  SELECT order_id, month, CASE WHEN delivered_at <= day + 1000 THEN 0 ELSE 1 END AS label,
+    least(coalesce(delivered_at, day + 1000), CAST(day + 1000 AS TIMESTAMP)) AS known_at FROM ord),
+late_scores AS (
+  SELECT o.order_id, o.month, CASE WHEN year(day) < 1997 THEN 1 ELSE 2 END AS model_version,
+    24100 - (year(day) * 12 + month(day)) - 10 * coalesce(n_items, 0) AS score
+  FROM ord o LEFT JOIN (SELECT l_orderkey AS order_id, count(*) AS n_items FROM lineitem GROUP BY l_orderkey) USING (order_id))"""
+
 SCORED = FEATURES + """,
 scored AS (
   SELECT order_id, purchase_date, month, order_priority, is_late_delivery AS label,
@@ -625,6 +634,101 @@ SELECT 'late_delivery' AS name, CAST(1 AS BIGINT) AS version, alias,
   '2002-01-01 00:00:00' AS valid_from, 'set' AS kind, fingerprint, '1995-01-01' AS window_start,
   '1998-01-01' AS window_end, md5('{{"model": "gbt", "seed": 42, "window_end": "1998-01-01", '
     || '"window_start": "1995-01-01"}}') AS config, true AS has_code FROM a, f""",
+        "drift_by_day": f"""WITH {FEATURES},
+long AS ({" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, purchase_date AS day FROM feat" for c in NUMERIC)}),
+edges AS (
+  SELECT feature, list_sort(list_distinct(quantile_disc(v, {DECILES}))) AS e
+  FROM long WHERE day < DATE '1998-01-01' GROUP BY feature),
+binned AS (
+  SELECT feature, day, CASE WHEN v IS NULL THEN 'none' ELSE '' || len(list_filter(e, lambda x: x <= v)) END AS bin
+  FROM long JOIN edges USING (feature)
+  {" ".join(f"UNION ALL SELECT '{c}', purchase_date, coalesce('=' || {c}, 'none') FROM feat" for c in CATEGORICAL)}),
+base AS (
+  SELECT feature, bin, greatest(count(*) / CAST(sum(count(*)) OVER (PARTITION BY feature) AS DOUBLE), 0.0001::DOUBLE) AS e
+  FROM binned WHERE day < DATE '1998-01-01' GROUP BY feature, bin),
+cur AS (
+  SELECT feature, day, bin, count(*) AS n, sum(count(*)) OVER (PARTITION BY feature, day) AS total
+  FROM binned WHERE day >= DATE '1998-01-01' GROUP BY feature, day, bin),
+grid AS (
+  SELECT feature, day, bin FROM base JOIN (SELECT DISTINCT feature, day FROM cur) USING (feature)
+  UNION SELECT feature, day, bin FROM cur),
+totals AS (SELECT feature, day, max(total) AS total FROM cur GROUP BY feature, day),
+shares AS (
+  SELECT g.feature, g.day, t.total, coalesce(b.e, 0.0001::DOUBLE) AS e,
+    greatest(coalesce(c.n, 0) / CAST(t.total AS DOUBLE), 0.0001::DOUBLE) AS c
+  FROM grid g JOIN totals t USING (feature, day) LEFT JOIN base b ON b.feature = g.feature AND b.bin = g.bin
+  LEFT JOIN cur c ON c.feature = g.feature AND c.day = g.day AND c.bin = g.bin),
+psi AS (SELECT feature, day, total, sum((c - e) * ln(c / e)) AS psi FROM shares GROUP BY feature, day, total)
+SELECT strftime(day, '%Y-%m-%d') AS purchase_date, strftime(date_trunc('month', day), '%Y-%m-%d') AS month,
+  CAST(total AS BIGINT) AS n_cur, 'psi' AS "check", feature AS subject, 'monitoring' AS stage,
+  CASE WHEN psi > 0.25 THEN 'ERROR' WHEN psi > 0.1 THEN 'WARN' ELSE 'OK' END AS severity, psi <= 0.1 AS passed,
+  round(psi, 6) AS observed, CASE WHEN psi > 0.25 THEN 0.25::DOUBLE ELSE 0.1::DOUBLE END AS threshold FROM psi""",
+        "performance_refresh": f"""WITH {FACTS},
+runs AS (SELECT unnest([1, 2, 3, 4]) AS run, unnest([false, false, false, true]) AS whole,
+  unnest([DATE '1999-06-30', DATE '2000-06-30', DATE '2000-06-30', DATE '2000-06-30']) AS today),
+known AS (
+  SELECT run, month, count(*) AS n FROM runs JOIN facts ON month <= today - 1000 AND known_at < today + 1
+    AND (whole OR year(known_at) <> 1997 OR order_id % 50 <> 0)
+  GROUP BY run, month),
+changed AS (
+  SELECT k.month, string_agg('' || k.run, ',' ORDER BY k.run) AS runs
+  FROM known k LEFT JOIN known b ON b.run = k.run - 1 AND b.month = k.month WHERE b.n IS DISTINCT FROM k.n GROUP BY k.month),
+rows_ AS (
+  SELECT month, model_version, score, label FROM late_scores JOIN facts USING (order_id, month)
+  WHERE month <= DATE '2000-06-30' - 1000 AND known_at < DATE '2000-07-01'),
+{evaluation("rows_", "month, model_version")}
+SELECT strftime(coalesce(m.month, c.month), '%Y-%m-%d') AS day, runs, CAST(model_version AS BIGINT) AS model_version, {METRICS}
+FROM m FULL JOIN changed c ON c.month = m.month""",
+        "closed_loop": f"""WITH RECURSIVE {FACTS},
+days AS (
+  SELECT i, [DATE '1999-12-31', DATE '2001-06-30', DATE '2002-06-30', DATE '2003-06-30', DATE '2004-06-30'][i] AS today,
+    [DATE '1997-12-31', DATE '1999-12-31', DATE '2001-06-30', DATE '2002-06-30', DATE '2003-06-30'][i] AS before
+  FROM range(1, 6) r(i)),
+months AS (SELECT DISTINCT month FROM facts WHERE month >= DATE '1998-01-01'),
+seen AS (
+  SELECT i, today, count(*) FILTER (month > before) AS fresh, count(*) FILTER (month > today - 1000) AS still_open
+  FROM days JOIN months ON month <= today GROUP BY i, today),
+known AS (
+  SELECT i, month, count(*) AS n FROM days JOIN facts ON i > 1 AND month >= DATE '1998-01-01' AND month <= today - 1000 AND known_at < today + 1
+  GROUP BY i, month),
+measured AS (
+  SELECT k.i, count(*) AS n_measured FROM known k LEFT JOIN known b ON b.i = k.i - 1 AND b.month = k.month
+  WHERE b.n IS DISTINCT FROM k.n GROUP BY k.i),
+judged AS (
+  SELECT i, count(*) AS n_rows, sum(label) AS n_positive FROM days JOIN facts ON i > 1 AND month >= DATE '1998-01-01'
+    AND month <= today - 1000 AND month > today - 1270 AND known_at < today + 1 GROUP BY i),
+every AS (
+  SELECT s.*, coalesce(n_rows, 0) AS n_rows, coalesce(n_positive, 0) AS n_positive, coalesce(n_measured, 0) AS n_measured,
+    coalesce(n_positive > 0 AND n_positive < n_rows, false) AS has_metric
+  FROM seen s LEFT JOIN measured USING (i) LEFT JOIN judged USING (i)),
+walk AS (
+  SELECT e.*, 'bootstrap' AS reason, today AS last, 1 AS version FROM every e WHERE i = 1
+  UNION ALL
+  SELECT e.*, CASE WHEN e.today - w.last >= 400 AND e.has_metric THEN 'degradation' END,
+    CASE WHEN e.today - w.last >= 400 AND e.has_metric THEN e.today ELSE w.last END,
+    w.version + CASE WHEN e.today - w.last >= 400 AND e.has_metric THEN 1 ELSE 0 END
+  FROM walk w JOIN every e ON e.i = w.i + 1)
+SELECT strftime(today, '%Y-%m-%d') AS today, reason, strftime(today - 1269, '%Y-%m-%d') AS measured_from,
+  strftime(today - 1000, '%Y-%m-%d') AS measured_to, n_rows, CAST(n_positive AS BIGINT) AS n_positive,
+  CASE WHEN i = 1 THEN 0 ELSE fresh END AS n_scored, n_measured,
+  CASE WHEN reason IS NULL THEN 'kept' ELSE 'promoted' END AS outcome, CAST(version AS BIGINT) AS version,
+  CASE WHEN i = 1 THEN fresh WHEN reason IS NULL THEN 0 ELSE still_open END AS n_backfilled
+FROM walk""",
+        "ingest_log_late": """WITH ev AS (
+  SELECT event_id, ts, (day(ts) - 1) // 8 + CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END AS part FROM events),
+del AS (SELECT event_id, ts, part AS b FROM ev UNION ALL SELECT event_id, ts, part + 1 FROM ev WHERE event_id % 7 = 0),
+marks AS (
+  SELECT n.b, (SELECT max(ts) FROM del WHERE del.b < n.b) - INTERVAL 1 DAY AS watermark FROM range(0, 6) n(b)),
+judged AS (SELECT d.*, coalesce(ts < watermark, false) AS late FROM del d JOIN marks USING (b)),
+taken AS (SELECT event_id, min(b) AS b FROM judged WHERE NOT late GROUP BY event_id),
+accepted AS (SELECT b, count(*) AS n, sum(event_id) AS ids FROM taken GROUP BY b),
+counts AS (
+  SELECT b, max(ts) AS newest, count(*) AS n, count(*) FILTER (late) AS n_late, sum(event_id) FILTER (late) AS late_ids FROM judged GROUP BY b)
+SELECT m.b AS batch_id, strftime(watermark, '%Y-%m-%d %H:%M:%S') AS watermark, strftime(newest, '%Y-%m-%d %H:%M:%S') AS newest,
+  coalesce(c.n, 0) AS n_delivered, coalesce(a.n, 0) AS n_accepted, coalesce(c.n, 0) - coalesce(a.n, 0) - coalesce(n_late, 0) AS n_repeated,
+  coalesce(n_late, 0) AS n_late, a.n AS accepted_rows, CAST(a.ids AS BIGINT) AS accepted_ids, nullif(n_late, 0) AS late_rows, CAST(late_ids AS BIGINT) AS late_ids
+FROM marks m LEFT JOIN counts c USING (b) LEFT JOIN accepted a USING (b)""",
         "raw_to_staging": """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
   round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer""",
         "ingest_landing": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id,

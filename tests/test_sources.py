@@ -20,7 +20,7 @@ CSV = (
 @pytest.fixture
 def raw(spark, tmp_path):
     (tmp_path / "orders.csv").write_bytes(CSV.encode("utf-8"))
-    return read_raw(spark, str(tmp_path), "orders", ["order_id", "note", "amount", "day"])
+    return read_raw(spark, str(tmp_path), "orders", ["order_id", "note", "amount", "day"], line_breaks=True)
 
 
 def test_raw_reads_everything_as_text(raw):

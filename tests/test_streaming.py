@@ -7,6 +7,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from orderflow.operators.checks import duplicate_audit
+from orderflow.operators.registry import promote, register_version
+from orderflow.operators.scoring import Registry
 from orderflow.streaming.ingest import (
     append_stream,
     ingest_landing,
@@ -115,12 +117,16 @@ def model(spark):
 def test_micro_batches_score_each_row_once(spark, tmp_path, model):
     landing, cursor, out = (str(tmp_path / n) for n in ("landing", "cursor", "out"))
     schema = "order_id long, purchase_date date, x double"
-    scored_at = datetime(2024, 2, 1)
+    registry = Registry(str(tmp_path / "versions"), str(tmp_path / "aliases"), "m")
+    model.write().save(str(tmp_path / "model"))
+    for n in range(1, 5):
+        register_version(spark, registry.versions_path, "m", f"f{n}", str(tmp_path / "model"), at(1))
+    promote(spark, registry.aliases_path, "m", 3, at(1))
 
     def run():
         stream = read_landing(spark, landing, struct(spark, schema),
                               options={"maxFilesPerTrigger": 1})
-        score_stream(stream, model, 3, out, cursor, scored_at).awaitTermination()
+        score_stream(stream, registry, out, cursor).awaitTermination()
         return spark.read.parquet(out)
 
     land(spark, landing, [(1, date(2024, 1, 1), 1.0), (2, date(2024, 1, 1), 9.0)], schema)
@@ -132,3 +138,7 @@ def test_micro_batches_score_each_row_once(spark, tmp_path, model):
     assert {r["model_version"] for r in table.collect()} == {3}
     assert duplicate_audit(table, ["order_id", "model_version"]).count() == 1
     assert current_predictions(table).count() == 3
+    promote(spark, registry.aliases_path, "m", 4, at(2))
+    land(spark, landing, [(9, date(2024, 1, 3), 2.0)], schema)
+    assert {(r["order_id"], r["model_version"]) for r in run().where("order_id >= 3").collect()} == {(3, 3), (9, 4)}
+    assert table.where("scored_at is null").count() == 0
