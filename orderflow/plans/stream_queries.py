@@ -76,10 +76,10 @@ def stream_label_join_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in (("predictions", predictions), ("facts", facts)):
         write_layer(df, root, "raw", name)
     scored, left = closable(
-        read_landing(spark, f"{root}/raw/predictions", predictions.schema), run_dir(spark, "markers"), "purchase_ts"
+        read_landing(spark, f"{root}/raw/predictions", predictions.schema), run_dir(spark, "markers"), "purchase_ts", {"order_id": 0}
     )
     known, right = closable(
-        read_landing(spark, f"{root}/raw/facts", facts.schema), run_dir(spark, "markers"), "known_at"
+        read_landing(spark, f"{root}/raw/facts", facts.schema), run_dir(spark, "markers"), "known_at", {"order_id": 0}
     )
     joined = stream_label_join(scored, known, "order_id", "purchase_ts", "known_at", LAG, "1 day")
     out, checkpoint = run_dir(spark, "joined"), run_dir(spark, "cursor")

@@ -8,8 +8,8 @@ everything that was held back, and the marker itself never shows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +23,12 @@ CLOSES = "_closes"
 
 @dataclass(frozen=True)
 class Markers:
-    """Folder of the markers of one input, its columns, and the one that holds the event time."""
+    """Folder of the markers of one input, its columns, the one that holds the event time, and values of others."""
 
     folder: str
     schema: T.StructType
     ts_col: str
+    values: Mapping[str, object] = field(default_factory=dict)
 
     def _write(self, spark: SparkSession, rows: list[tuple]) -> None:
         spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(self.folder)
@@ -39,14 +40,19 @@ class Markers:
 
     def close(self, spark: SparkSession, at: datetime) -> None:
         """Add a marker of time `at`; rows before `at` less the delay of the watermark come late from then on."""
-        self._write(spark, [tuple(at if f.name == self.ts_col else None for f in self.schema)])
+        known = {**self.values, self.ts_col: at}
+        self._write(spark, [tuple(known.get(f.name) for f in self.schema)])
 
 
-def closable(stream: DataFrame, folder: str, ts_col: str) -> tuple[DataFrame, Markers]:
-    """The stream with markers from `folder` and a column `CLOSES`; columns become nullable, for a marker only has a time."""
+def closable(stream: DataFrame, folder: str, ts_col: str, values: Mapping[str, object] | None = None
+             ) -> tuple[DataFrame, Markers]:
+    """The stream with markers from `folder` and a column `CLOSES`; a marker has a time and `values`, otherwise NULLs.
+
+    The key of a join needs a value, any one: rows without a key are dropped before the watermark sees them.
+    """
     spark = stream.sparkSession
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema])
-    markers = Markers(folder, schema, ts_col).open(spark)
+    markers = Markers(folder, schema, ts_col, values or {}).open(spark)
     marks = spark.readStream.schema(schema).parquet(folder).withColumn(CLOSES, F.lit(True))
     return stream.withColumn(CLOSES, F.lit(False)).unionByName(marks), markers
 

@@ -33,8 +33,8 @@ def test_closing_both_sides_of_a_join(spark, tmp_path):
     p_schema, f_schema = "order_id long, pred_at timestamp", "order_id long, known_at timestamp, y int"
     land(spark, tmp_path / "p", [(1, at(1)), (2, at(1)), (None, at(2)), (3, at(10))], p_schema)
     land(spark, tmp_path / "f", [(1, at(4), 1), (9, at(3), 0), (None, at(3), 1), (3, at(18), 1)], f_schema)
-    p, left = closable(read_landing(spark, str(tmp_path / "p"), struct(spark, p_schema)), str(tmp_path / "pm"), "pred_at")
-    f, right = closable(read_landing(spark, str(tmp_path / "f"), struct(spark, f_schema)), str(tmp_path / "fm"), "known_at")
+    p, left = closable(read_landing(spark, str(tmp_path / "p"), struct(spark, p_schema)), str(tmp_path / "pm"), "pred_at", {"order_id": 0})
+    f, right = closable(read_landing(spark, str(tmp_path / "f"), struct(spark, f_schema)), str(tmp_path / "fm"), "known_at", {"order_id": 0})
     joined = stream_label_join(p, f, "order_id", "pred_at", "known_at", "5 days", "1 day")
     assert CLOSES not in joined.columns
     run_and_close(lambda: append_stream(joined, out, cursor), [left, right], END, spark)
