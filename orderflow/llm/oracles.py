@@ -269,15 +269,15 @@ WITH docs AS (
   SELECT *, substr(text, 1, n - n // 3) || substr(next_text, 1, n // 3) AS edited FROM paired
 ), versions AS (
   SELECT doc_id, false AS e, text FROM edits UNION ALL SELECT doc_id, true, edited FROM edits
-), letters AS (
-  SELECT doc_id, e, unnest(c) AS c, unnest(range(1, len(c) + 1)) AS i FROM (SELECT doc_id, e, regexp_extract_all(text, '(?s).') AS c FROM versions)
-), inner_runs AS (
-  SELECT doc_id, e, i, c || lead(c, 1) OVER w || lead(c, 2) OVER w || lead(c, 3) OVER w || lead(c, 4) OVER w || lead(c, 5) OVER w AS s
-  FROM letters WINDOW w AS (PARTITION BY doc_id, e ORDER BY i)
+), units AS (
+  SELECT doc_id, e, unnest(u) AS u, unnest(range(1, len(u) + 1)) AS i FROM (SELECT doc_id, e,
+    regexp_extract_all(text, '[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{1100}-\x{11FF}\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]|[^\x20\x09-\x0D\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{1100}-\x{11FF}\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]{1,16}') AS u FROM versions)
 ), runs AS (
-  SELECT doc_id, e, i, s, lead(s, 18) OVER w AS last, s || lead(s, 6) OVER w || lead(s, 12) OVER w || lead(s, 18) OVER w AS run,
-    min(s) OVER (PARTITION BY doc_id, e ORDER BY i ROWS BETWEEN CURRENT ROW AND 18 FOLLOWING) AS least
-  FROM inner_runs WINDOW w AS (PARTITION BY doc_id, e ORDER BY i)
+  SELECT doc_id, e, i, u AS s, lead(u, 7) OVER w AS last,
+    u || ' ' || lead(u, 1) OVER w || ' ' || lead(u, 2) OVER w || ' ' || lead(u, 3) OVER w || ' ' || lead(u, 4) OVER w || ' ' || lead(u, 5) OVER w
+      || ' ' || lead(u, 6) OVER w || ' ' || lead(u, 7) OVER w AS run,
+    min(u) OVER (PARTITION BY doc_id, e ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS least
+  FROM units WINDOW w AS (PARTITION BY doc_id, e ORDER BY i)
 ), anchors AS (
   SELECT doc_id, e, i, printf('%02x', least(coalesce(i - lag(i) OVER (PARTITION BY doc_id, e ORDER BY i), 0), 255)) || substr(md5(run), 1, 6) AS t
   FROM runs WHERE run IS NOT NULL AND least(s, last) = runs.least

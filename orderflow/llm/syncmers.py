@@ -1,8 +1,9 @@
 """Document fingerprints from closed syncmers; DataFrame functions only.
 
-A run of K code points is an anchor if the smallest of its inner runs of S code points lies at
-one of its two edges. Whether it is depends on nothing else, so a passage keeps its anchors
-wherever it stands, and the anchors of an edited text are those of its parts and of the seams.
+A text is a sequence of units: words, of which long ones are cut, and single characters of scripts
+that are written without blanks. A run of K units is an anchor if the smallest of its inner runs of S
+units lies at one of its two edges. Whether it is depends on nothing else, so a passage keeps its
+anchors wherever it stands, and K - S + 1 runs in a row always hold one.
 
 A fingerprint lists the anchors of the whole text in order, each as a token: the distance to the
 anchor before it and a hash. Two fingerprints are as alike as their sets of tokens, so an
@@ -20,15 +21,17 @@ from pyspark.sql import functions as F
 from orderflow.operators.cumulative import bucket_by_edges
 from orderflow.workspace import materialize
 
-# Code points of an anchor and of its inner runs, hexadecimal digits of a hash and of a distance.
-K = 24
-S = 6
+# Units of an anchor and of its inner runs, hexadecimal digits of a hash and of a distance.
+K = 8
+S = 1
 HASH_DIGITS = 6
 GAP_DIGITS = 2
 #: Distances from this on are written alike.
 _FAR = 16**GAP_DIGITS - 1
-#: Code points that are looked at as one piece of a text.
-PIECE = 256
+# Thai, Lao, Burmese, Khmer, Chinese, Japanese and Korean letters, and the longest unit.
+ALONE = "\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u1100-\u11FF\u2E80-\uD7FF\uF900-\uFAFF\U00020000-\U0003FFFF"
+LONGEST = 16
+UNIT = f"[{ALONE}]|[^ \t\n\x0B\f\r{ALONE}]{{1,{LONGEST}}}"
 #: Documents that one sorted range holds, about, and parts that a repeated id is spread over.
 RANGE_ROWS = 20_000
 TIES = 256
@@ -49,50 +52,44 @@ def _number(hex_digits: Column) -> Column:
     return F.conv(hex_digits, 16, 10).cast("long")
 
 
-def _anchors_of_piece(piece: Column, at: Column) -> Column:
-    """Anchors that begin in a piece, which holds K - 1 code points more; `at` is its place in the text."""
-    inner = F.regexp_extract_all(piece, F.lit(f"(?s)(?=(.{{{S}}}))."), F.lit(1))
+def _least_of_next(values: Column, n: int) -> Column:
+    """For each place the least of its value and the n - 1 behind it, as far as there are any."""
 
-    def chosen(runs: Column) -> Column:
-        places = F.sequence(F.lit(1), F.size(runs) - (K - S))
-        least = lambda i: F.array_min(F.slice(runs, i, K - S + 1))
-        edge = lambda i: F.least(F.element_at(runs, i), F.element_at(runs, i + (K - S)))
-        return F.filter(places, lambda i: least(i) >= edge(i))
+    def with_place(step: int) -> Callable[[Column], Column]:
+        return lambda a: F.zip_with(a, F.slice(a, F.lit(step + 1), F.size(a)), lambda x, y: F.least(x, y))
 
-    def packed(i: Column) -> Column:
-        digest = F.substring(F.md5(F.substring(piece, i, F.lit(K))), F.lit(1), F.lit(HASH_DIGITS))
-        return (at + i - 1).cast("long") * _HASH_UNIT + _number(digest)
-
-    found = _let(inner, lambda runs: F.when(F.size(runs) > K - S, F.transform(chosen(runs), packed)))
-    return F.coalesce(found, F.array().cast("array<bigint>"))
+    span = 1
+    while 2 * span <= n:
+        values = _let(values, with_place(span))
+        span *= 2
+    return _let(values, with_place(n - span)) if span < n else values
 
 
 def anchors(text: Column) -> Column:
-    """Array of the anchors in order, each as place * 16^6 + hash, of a text without null; a text shorter than K has none."""
-    every = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    """Array of the anchors in order, each as place * 16^6 + hash, of a text without null; fewer than K units have none."""
+    inner_runs = K - S + 1
 
-    def with_more(pieces: Column) -> Column:
-        def one(piece: Column, i: Column) -> Column:
-            following = F.substring(F.coalesce(F.try_element_at(pieces, i + 2), F.lit("")), 1, K - 1)
-            return _let(F.concat(piece, following), lambda p: _anchors_of_piece(p, i * PIECE))
+    def packed(units: Column, i: Column) -> Column:
+        digest = F.substring(F.md5(F.array_join(F.slice(units, i + 1, F.lit(K)), " ")), F.lit(1), F.lit(HASH_DIGITS))
+        return i.cast("long") * _HASH_UNIT + _number(digest)
 
-        return F.flatten(F.transform(pieces, one))
+    def chosen(units: Column) -> Column:
+        runs = units if S == 1 else F.transform(units, lambda _, i: F.array_join(F.slice(units, i + 1, F.lit(S)), " "))
 
-    return _let(every, with_more)
+        def at_edges(runs: Column, least: Column) -> Column:
+            places = F.sequence(F.lit(0), F.size(units) - K)
+            return F.filter(places, lambda i: F.get(least, i) >= F.least(F.get(runs, i), F.get(runs, i + (inner_runs - 1))))
 
+        found = _let(runs, lambda r: _let(_least_of_next(r, inner_runs), lambda least: at_edges(r, least)))
+        return F.transform(found, lambda i: packed(units, i))
 
-def seam_anchors(text: Column, n_kept: Column, head: Column, n_head: Column, own: Column, other: Column) -> Column:
-    """Anchors of the first `n_kept` code points of `text` with `head` behind them; only the seam is looked at.
+    found = _let(F.regexp_extract_all(text, F.lit(UNIT), F.lit(0)), lambda units: F.when(F.size(units) >= K, chosen(units)))
+    return F.coalesce(found, F.array().cast("array<bigint>"))
 
-    `own` are the anchors of `text`; `head` is the first `n_head` code points of a text with the anchors `other`.
-    """
-    before = F.filter(own, lambda a: _place(a) <= n_kept - K)
-    start = F.greatest(n_kept - (K - 1), F.lit(0))
-    seam = F.concat(F.substring(text, start + 1, n_kept - start), F.substring(head, 1, K - 1))
-    across = F.filter(anchors(seam), lambda a: _place(a) < n_kept - start)
-    moved = F.transform(across, lambda a: a + start.cast("long") * _HASH_UNIT)
-    after = F.filter(other, lambda a: _place(a) <= n_head - K)
-    return F.concat(before, moved, F.transform(after, lambda a: a + n_kept.cast("long") * _HASH_UNIT))
+
+def fingerprint(text: Column) -> Column:
+    """The tokens of a text without null."""
+    return _let(anchors(text), lambda found: tokens(found, text))
 
 
 def tokens(found: Column, text: Column) -> Column:
@@ -107,7 +104,7 @@ def tokens(found: Column, text: Column) -> Column:
         before = F.concat(F.array(F.lit(None).cast("bigint")), F.slice(list_, F.lit(1), F.size(list_) - 1))
         return F.zip_with(list_, before, linked)
 
-    return F.when(F.size(found) > 0, _let(found, shifted)).when(text == "", F.array().cast("array<bigint>")).otherwise(F.array(whole))
+    return F.when(F.size(found) > 0, shifted(found)).when(text == "", F.array().cast("array<bigint>")).otherwise(F.array(whole))
 
 
 def as_text(found: Column) -> Column:
@@ -148,7 +145,8 @@ def with_next(docs: DataFrame, add: Callable[[DataFrame], DataFrame], columns: l
     placed = _ranges(docs, rows)
     order = Window.partitionBy("cell", "tie").orderBy(F.col("id").desc_nulls_last(), "key")
     inner = F.lead(F.struct(*columns)).over(order)
-    lead = add(placed).withColumn("next", inner).withColumn("_last", F.lead(F.lit(1)).over(order).isNull())
+    # Rows meet their neighbours before anything is added, so only texts are shuffled.
+    lead = add(placed.repartition("cell", "tie")).withColumn("next", inner).withColumn("_last", F.lead(F.lit(1)).over(order).isNull())
 
     rank = F.struct((-F.col("id")).alias("i"), F.col("key").alias("k"))
     firsts = materialize(placed.groupBy("cell", "tie").agg(F.min(rank).alias("first")), "syncmers-firsts")
@@ -175,26 +173,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counted = rows.groupBy("id", "key").agg(F.count("*").alias("n")).agg(F.count("*").alias("all"), F.max("n").alias("most")).first()
     if (counted["most"] or 0) > 1:
         rows = rows.dropDuplicates(["id", "key"])
-    paired = with_next(rows, lambda df: df.withColumn("found", anchors(F.col("text"))), ["text", "found"], counted["all"])
+    paired = with_next(rows, lambda df: df.withColumn("own", fingerprint(F.col("text"))), ["text", "own"], counted["all"])
     chars = F.length("text")
-    sized = paired.withColumns({"n_chars": chars, "n_kept": chars - F.floor(chars / 3).cast("int")}).withColumn(
-        "head", F.substring(F.col("next.text"), F.lit(1), F.col("n_chars") - F.col("n_kept"))
-    )
-    kept = F.substring(F.col("text"), F.lit(1), F.col("n_kept"))
-    joint = seam_anchors(F.col("text"), F.col("n_kept"), F.col("head"), F.length("head"), F.col("found"), F.col("next.found"))
-    edited = sized.withColumn("edited", F.concat(kept, "head")).withColumn("edited_found", joint)
-    listed = edited.select(
-        "id",
-        F.col("n_chars").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        tokens(F.col("found"), F.col("text")).alias("own"),
-        tokens(F.col("edited_found"), F.col("edited")).alias("changed"),
-        tokens(F.col("next.found"), F.col("next.text")).alias("others"),
-    )
+    replaced = F.floor(chars / 3).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), chars - replaced), F.substring(F.col("next.text"), F.lit(1), replaced))
+    listed = paired.select("id", chars.cast("long").alias("n_chars"), edited.alias("edited"), "own", F.col("next.own").alias("others"))
+    listed = listed.withColumn("changed", fingerprint(F.col("edited")))
     return listed.select(
         "id",
         "n_chars",
-        "edited_sha256",
+        F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -9,13 +10,17 @@ from orderflow.llm.syncmers import K, S, fingerprints
 md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
 
 
+UNIT = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1100-\u11ff\u2e80-\ud7ff\uf900-\ufaff\U00020000-\U0003ffff]|[^ \t-\r\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1100-\u11ff\u2e80-\ud7ff\uf900-\ufaff\U00020000-\U0003ffff]{1,16}")
+
+
 def anchors(text):
-    inner = [text[i : i + S].encode() for i in range(len(text) - S + 1)]
+    units = UNIT.findall(text)
+    inner = [" ".join(units[i : i + S]).encode() for i in range(len(units) - S + 1)]
     out = []
-    for i in range(len(text) - K + 1):
+    for i in range(len(units) - K + 1):
         near = inner[i : i + K - S + 1]
         if min(near) in (near[0], near[-1]):
-            out.append((i, md5(text[i : i + K])[:6]))
+            out.append((i, md5(" ".join(units[i : i + K]))[:6]))
     return out
 
 
@@ -50,7 +55,7 @@ def texts(seed):
     rnd = random.Random(seed)
     words = ["der", "die", "das", "Haus", "éa", "😀", "\n", "x" * 30, "größer", "."]
     rows = [(rnd.randrange(-40, 200), " ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 300)))) for _ in range(60)]
-    edges = [(None, "first null"), (None, None), (None, "x" * 700), (5, ""), (5, None), (7, "ab"), (8, "a" * K), (9, rows[0][1]), (2**60, "😀" * 50), (2**60 + 1, "\n" * 300)]
+    edges = [(None, "first null"), (None, None), (None, "x" * 700), (5, ""), (5, None), (7, "ab"), (8, "a b c d e f"), (10, "a b c d e"), (11, "你好世界，这是一个测试。" * 9), (12, "ไทย漢字" * 20 + "x" * 40), (9, rows[0][1]), (2**60, "😀" * 50), (2**60 + 1, "\n" * 300)]
     return rows + edges + rows[:5]
 
 
@@ -60,13 +65,19 @@ def test_equals_brute_force(spark):
     assert got(docs) == brute(rows)
 
 
-def test_anchors_cross_pieces_and_long_texts(spark):
+def test_anchors_are_context_free_and_never_far_apart(spark):
     rnd = random.Random(1)
-    rows = [(n, "".join(rnd.choice("abcdé😀 ") for _ in range(n))) for n in (0, K - 1, K, 255, 256, 257, 279, 280, 512, 530, 200_000)]
+    words = ["ab", "c", "déf", "😀", "x" * 40, "字"]
+    passage = " ".join(rnd.choice(words) + str(rnd.randrange(50)) for _ in range(300))
+    rows = [(0, passage), (1, "some other beginning of it " + passage + " and an end"), (2, " ".join(rnd.choice(words) for _ in range(60_000)))]
     docs = spark.createDataFrame(rows, "n long, text string").withColumn("a", syncmers.anchors(F.col("text")))
-    for row in docs.collect():
-        want = [(i << 24) + int(h, 16) for i, h in anchors(row.text)]
-        assert row.a == want, row.n
+    found = {r.n: [(a >> 24, a & 0xFFFFFF) for a in r.a] for r in docs.collect()}
+    for n, text in rows:
+        assert [(i, f"{h:06x}") for i, h in found[n]] == anchors(text)
+    moved = [(i + 5, h) for i, h in found[0]]
+    assert [x for x in found[1] if moved[0][0] <= x[0] <= moved[-1][0]] == moved
+    for places in ([i for i, _ in found[n]] for n in found):
+        assert max(b - a for a, b in zip(places, places[1:])) <= K - S + 1
 
 
 def test_frequent_ids_are_spread_and_order_holds(spark):
