@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
@@ -16,7 +19,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators.gates import calibrate_threshold
@@ -79,6 +82,12 @@ def _numeric_inputs(spec: FeatureSpec) -> list[str]:
     return [_number(c) for c in spec.numeric] + [f"{c}{_SUFFIX_MISSING}" for c in spec.nullable]
 
 
+#: Fits under way at a time.
+FITS_AT_ONCE = 4
+#: Bins of a number; categories with more levels get as many.
+_BINS = 64
+
+
 def build_pipeline(kind: str, spec: FeatureSpec, label: str,
                    params: Mapping[str, object] | None = None, seed: int = 42) -> Pipeline:
     """Pipeline of kind 'gbt' (boosted trees) or 'logreg' (logistic regression)."""
@@ -86,7 +95,7 @@ def build_pipeline(kind: str, spec: FeatureSpec, label: str,
     stages = _inputs(spec)
     numeric = _numeric_inputs(spec)
     if kind == "gbt":
-        defaults = {"maxIter": 20, "maxDepth": 4, "maxBins": 64, "stepSize": 0.15}
+        defaults = {"maxIter": 20, "maxDepth": 4, "maxBins": _BINS, "stepSize": 0.15}
         assembler = VectorAssembler(
             inputCols=numeric + [f"{c}__idx" for c in spec.categorical], outputCol="features"
         )
@@ -146,7 +155,16 @@ def train(
     rows = df.where(F.col(label).isNotNull()).select(key, label, *spec.columns)
     placed = rows.repartition(F.col(key)).sortWithinPartitions(key)
     table = materialize(placed, "training")
-    return build_pipeline(kind, spec, label, params, seed).fit(with_class_weights(table, label))
+    options = dict(params or {})
+    if kind == "gbt" and spec.categorical:
+        options["maxBins"] = max(int(options.get("maxBins", _BINS)), _most_levels(table, spec) + 2)
+    return build_pipeline(kind, spec, label, options, seed).fit(with_class_weights(table, label))
+
+
+def _most_levels(table: DataFrame, spec: FeatureSpec) -> int:
+    """Levels of the category with the most of them; a tree needs a bin for each, one for NULL and one for new ones."""
+    counts = table.agg(*[F.count_distinct(c) for c in spec.categorical]).first()
+    return max(counts)
 
 
 def scored(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -194,52 +212,62 @@ def importance(model: PipelineModel, df: DataFrame, spec: FeatureSpec) -> DataFr
 Fit = Callable[[DataFrame, FeatureSpec], PipelineModel]
 
 
+def side_by_side(spark: SparkSession, runs: Sequence[Callable[[], DataFrame]], most: int = FITS_AT_ONCE) -> list[DataFrame]:
+    """Results of independent runs, at most `most` of which are under way at a time.
+
+    A fit is many short jobs with little to do at their ends; jobs of other fits fill those gaps. The first
+    failure ends the call.
+    """
+    if not runs:
+        return []
+    with ThreadPoolExecutor(min(most, len(runs))) as pool:
+        return list(pool.map(lambda run: inheritable_thread_target(spark)(run)(), runs))
+
+
+def _stacked(results: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, results)
+
+
 def compare_splits(datasets: Mapping[str, DataFrame], fit: Fit, spec: FeatureSpec, label: str
                    ) -> DataFrame:
     """The same model under several splits: metrics with a column `split`."""
-    results = None
-    for name, dataset in datasets.items():
-        train_rows, holdout = parts(dataset)
-        metrics = evaluate_model(fit(train_rows, spec), holdout, label).select(
-            F.lit(name).alias("split"), "*"
-        )
-        results = metrics if results is None else results.unionByName(metrics)
-    return results
+
+    def run(name: str) -> DataFrame:
+        train_rows, holdout = parts(datasets[name])
+        return evaluate_model(fit(train_rows, spec), holdout, label).select(F.lit(name).alias("split"), "*")
+
+    spark = next(iter(datasets.values())).sparkSession
+    return _stacked(side_by_side(spark, [partial(run, name) for name in datasets]))
 
 
 def ablate(dataset: DataFrame, fit: Fit, spec: FeatureSpec, label: str, features: Sequence[str]
            ) -> DataFrame:
-    """ROC AUC without a feature and the loss against all features, one row per feature."""
-    train_rows, holdout = parts(dataset)
-    full = evaluate_model(fit(train_rows, spec), holdout, label).select(
-        F.col("roc_auc").alias("roc_auc_all")
-    )
-    baseline = full.first()["roc_auc_all"]
-    results = None
-    for feature in features:
-        reduced = spec.without(feature)
-        row = evaluate_model(fit(train_rows, reduced), holdout, label).select(
-            F.lit(feature).alias("dropped_feature"),
-            F.lit(baseline).alias("roc_auc_all"),
-            "roc_auc",
-            (F.lit(baseline) - F.col("roc_auc")).alias("loss"),
-        )
-        results = row if results is None else results.unionByName(row)
-    return results
+    """ROC AUC without a feature and the loss against all features, one row per feature.
+
+    The dataset is written once and read by all fits.
+    """
+    train_rows, holdout = parts(materialize(dataset, "ablation"))
+
+    def run(feature: str | None) -> DataFrame:
+        kept = spec if feature is None else spec.without(feature)
+        return evaluate_model(fit(train_rows, kept), holdout, label).select(F.lit(feature).cast("string").alias("dropped_feature"), "roc_auc")
+
+    whole, *reduced = side_by_side(dataset.sparkSession, [partial(run, f) for f in (None, *features)])
+    baseline = F.lit(whole.first()["roc_auc"]).cast("double")
+    return _stacked(reduced).select("dropped_feature", baseline.alias("roc_auc_all"), "roc_auc", (baseline - F.col("roc_auc")).alias("loss"))
 
 
 def calibrate(mart: DataFrame, fit: Fit, spec: FeatureSpec, label: str, key: str,
               seeds: Sequence[int], frac: float, margin: float = 0.02) -> DataFrame:
-    """Gate threshold from one fit per split seed."""
-    results = None
-    for seed in seeds:
+    """Gate threshold from one fit per split seed; the mart's labelled rows are written once and read by all fits."""
+    rows = materialize(mart.where(F.col(label).isNotNull()), "calibration")
+
+    def run(seed: int) -> DataFrame:
         holdout = is_holdout(key, seed, frac)
-        model = fit(mart.where(~holdout), spec)
-        metrics = evaluate_model(model, mart.where(holdout), label).select(
-            F.lit(seed).alias("seed"), "roc_auc"
-        )
-        results = metrics if results is None else results.unionByName(metrics)
-    return calibrate_threshold(results, margin)
+        model = fit(rows.where(~holdout), spec)
+        return evaluate_model(model, rows.where(holdout), label).select(F.lit(seed).alias("seed"), "roc_auc")
+
+    return calibrate_threshold(_stacked(side_by_side(mart.sparkSession, [partial(run, s) for s in seeds])), margin)
 
 
 def leakage_scan(df: DataFrame, cols: Sequence[str], label: str, limit: float = 0.95

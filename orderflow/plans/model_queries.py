@@ -104,9 +104,8 @@ def importance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ablate(
-        hash_dataset(spark, sf_dir), fit_logreg, feature_spec(), LABEL, ["month_index", "n_items"]
-    )
+    """Every feature left out once, with the default trees."""
+    return ablate(hash_dataset(spark, sf_dir), fit_gbt, feature_spec(), LABEL, feature_spec().columns)
 
 
 def compare_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +115,7 @@ def compare_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calibrate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mart_order_features(features_layer(spark, sf_dir))
-    return calibrate(rows, fit_logreg, feature_spec(), LABEL, KEY, (1, 2, 3, 4, 5), TEST_FRAC)
+    return calibrate(rows, fit_gbt, feature_spec(), LABEL, KEY, (1, 2, 3, 4, 5), TEST_FRAC)
 
 
 def champion_gate_models(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -634,6 +634,19 @@ SELECT 'late_delivery' AS name, CAST(1 AS BIGINT) AS version, alias,
   '2002-01-01 00:00:00' AS valid_from, 'set' AS kind, fingerprint, '1995-01-01' AS window_start,
   '1998-01-01' AS window_end, md5('{{"model": "gbt", "seed": 42, "window_end": "1998-01-01", '
     || '"window_start": "1995-01-01"}}') AS config, true AS has_code FROM a, f""",
+        "feature_origins": f"""WITH {FEATURES},
+made(feature, origins) AS (VALUES
+  ('purchase_month', 'orders.o_orderdate'), ('purchase_quarter', 'orders.o_orderdate'), ('purchase_dow', 'orders.o_orderdate'),
+  ('purchase_day', 'orders.o_orderdate'), ('month_index', 'orders.o_orderdate'), ('order_priority', 'orders.o_orderpriority'),
+  ('n_items', ''), ('n_products', ''), ('n_sellers', ''), ('sum_price', 'lineitem.l_extendedprice'),
+  ('avg_price', 'lineitem.l_extendedprice'), ('max_price', 'lineitem.l_extendedprice'), ('sum_qty', 'lineitem.l_quantity'),
+  ('avg_discount', 'lineitem.l_discount'), ('sum_tax', 'lineitem.l_tax'), ('avg_retail_price', 'part.p_retailprice'),
+  ('max_size', 'part.p_size'), ('n_brands', 'part.p_brand'), ('customer_segment', 'customer.c_mktsegment'),
+  ('customer_acctbal', 'customer.c_acctbal'), ('same_nation_share', 'customer.c_nationkey, supplier.s_nationkey'),
+  ('seller_late_rate_before', 'lineitem.l_shipdate, lineitem.l_suppkey, orders.o_orderdate')),
+known AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, count(*) AS n_rows, count({c}) AS n_known FROM feat" for c in NUMERIC + CATEGORICAL)})
+SELECT feature, origins, CASE WHEN feature = 'seller_late_rate_before' THEN 'declared' ELSE 'ok' END AS verdict, n_rows, n_known
+FROM made JOIN known USING (feature)""",
         "drift_by_day": f"""WITH {FEATURES},
 long AS ({" UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, purchase_date AS day FROM feat" for c in NUMERIC)}),

@@ -53,6 +53,12 @@ def fit(kind, params=None):
     return lambda df, spec: train(df, kind, spec, "y", "k", params, seed=1)
 
 
+def test_categories_with_many_levels_train_and_score(spark, rows):
+    many = rows.withColumn("kind", F.concat(F.lit("c"), F.col("k") % 90))
+    model = train(many.where("k % 90 < 85"), "gbt", SPEC, "y", "k", {"maxIter": 1, "maxDepth": 2}, seed=1)
+    assert scored(model, many, ["k"]).where("score between 0 and 1").count() == many.count()
+
+
 @pytest.mark.parametrize("kind, params", [("gbt", GBT), ("logreg", None)])
 def test_model_beats_chance_and_reruns_agree(spark, rows, kind, params):
     train_rows, holdout = hash_split(rows, "k", 1, 0.25)
