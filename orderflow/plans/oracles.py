@@ -708,19 +708,24 @@ known AS (
 measured AS (
   SELECT k.i, count(*) AS n_measured FROM known k LEFT JOIN known b ON b.i = k.i - 1 AND b.month = k.month
   WHERE b.n IS DISTINCT FROM k.n GROUP BY k.i),
-judged AS (
-  SELECT i, count(*) AS n_rows, sum(label) AS n_positive FROM days JOIN facts ON i > 1 AND month >= DATE '1998-01-01'
-    AND month <= today - 1000 AND month > today - 1270 AND known_at < today + 1 GROUP BY i),
+due AS (
+  SELECT i, order_id, label FROM days JOIN facts ON i > 1 AND month >= DATE '1998-01-01'
+    AND month <= today - 1000 AND month > today - 1270 AND known_at < today + 1),
+judged AS (SELECT i, count(*) AS n_rows, sum(label) AS n_positive FROM due GROUP BY i),
+guessed AS (
+  SELECT i, label, -coalesce(n, 0) AS score FROM due
+  LEFT JOIN (SELECT l_orderkey AS order_id, count(*) AS n FROM lineitem GROUP BY l_orderkey) USING (order_id)),
+{evaluation("guessed", "i")},
 every AS (
-  SELECT s.*, coalesce(n_rows, 0) AS n_rows, coalesce(n_positive, 0) AS n_positive, coalesce(n_measured, 0) AS n_measured,
-    coalesce(n_positive > 0 AND n_positive < n_rows, false) AS has_metric
-  FROM seen s LEFT JOIN measured USING (i) LEFT JOIN judged USING (i)),
+  SELECT s.*, coalesce(judged.n_rows, 0) AS n_rows, coalesce(judged.n_positive, 0) AS n_positive, coalesce(n_measured, 0) AS n_measured,
+    coalesce(roc_auc < 0.72, false) AS fell
+  FROM seen s LEFT JOIN measured USING (i) LEFT JOIN judged USING (i) LEFT JOIN m USING (i)),
 walk AS (
   SELECT e.*, 'bootstrap' AS reason, today AS last, 1 AS version FROM every e WHERE i = 1
   UNION ALL
-  SELECT e.*, CASE WHEN e.today - w.last >= 400 AND e.has_metric THEN 'degradation' END,
-    CASE WHEN e.today - w.last >= 400 AND e.has_metric THEN e.today ELSE w.last END,
-    w.version + CASE WHEN e.today - w.last >= 400 AND e.has_metric THEN 1 ELSE 0 END
+  SELECT e.*, CASE WHEN e.today - w.last >= 400 AND e.fell THEN 'degradation' END,
+    CASE WHEN e.today - w.last >= 400 AND e.fell THEN e.today ELSE w.last END,
+    w.version + CASE WHEN e.today - w.last >= 400 AND e.fell THEN 1 ELSE 0 END
   FROM walk w JOIN every e ON e.i = w.i + 1)
 SELECT strftime(today, '%Y-%m-%d') AS today, reason, strftime(today - 1269, '%Y-%m-%d') AS measured_from,
   strftime(today - 1000, '%Y-%m-%d') AS measured_to, n_rows, CAST(n_positive AS BIGINT) AS n_positive,
