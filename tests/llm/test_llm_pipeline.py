@@ -56,7 +56,7 @@ def test_stages_call_distinct_operators():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontaminate", "mix", "shard"]
     assert corpus_pipeline.ORACLE_SQL is None
     names = [n.split("_")[0] for n in contract.queries() if n.startswith("op")]
-    assert names == [f"op{i}" for i in range(1, 11)] and "pipeline" in contract.queries()
+    assert names == [f"op{i}" for i in range(1, 14)] and "pipeline" in contract.queries()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
