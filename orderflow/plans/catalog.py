@@ -8,6 +8,7 @@ can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,8 +79,9 @@ from orderflow.plans.mart import (
     mart_order_features,
     order_features,
 )
+from orderflow.plans.refresh import affected_orders, changes_between, refresh_layers, refreshed
 from orderflow.sources.layers import latest_by
-from orderflow.sources.roles import instant, load_roles, table
+from orderflow.sources.roles import Roles, instant, load_roles, table
 from orderflow.workspace import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +97,7 @@ CUTOFF = date(1998, 1, 1)
 NUMERIC = feature_spec().numeric
 SCORE_EDGES = [20.0, 40.0, 60.0, 80.0, 100.0, 120.0]
 SCORE_CUTOFF = 100.0
+NEWS_LAG = 60
 DRIFT_LIMITS = [("psi", 0.1, 0.25), ("positive_rate", 0.02, 0.05)]
 
 
@@ -188,6 +191,40 @@ def inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference_mart(features_of(spark, sf_dir))
 
 
+def before_the_news(roles: Roles) -> Roles:
+    """The inputs a step earlier: without the last day's orders, and with one day's deliveries not reported yet.
+
+    That day is the last one with deliveries `NEWS_LAG` days or more before the last order.
+    """
+    bought, delivered = F.to_date("purchase_ts"), F.to_date("delivered_at")
+    last = roles.orders.agg(F.max(bought)).first()[0]
+    news = roles.orders.where(delivered <= F.date_sub(F.lit(last), NEWS_LAG)).agg(F.max(delivered)).first()[0]
+    orders = roles.orders.where(bought < F.lit(last)).withColumn(
+        "delivered_at", F.when(delivered == F.lit(news), None).otherwise(F.col("delivered_at"))
+    )
+    items = roles.items.join(orders.select("order_id"), "order_id", "left_semi")
+    return replace(roles, orders=orders, items=items)
+
+
+def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart written from the earlier inputs and refreshed to the present ones."""
+    new = load_roles(spark, sf_dir)
+    old = before_the_news(new)
+    root = run_dir(spark, "refresh")
+    build_layers(old, root)
+    refresh_layers(old, new, root)
+    return refreshed(new, root)
+
+
+def mart_refresh_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that the refresh must work out again, by month and reason."""
+    new = load_roles(spark, sf_dir)
+    old = before_the_news(new)
+    found = affected_orders(old, new, changes_between(old, new))
+    month = new.orders.select("order_id", month_of(F.to_date("purchase_ts")).alias("month"))
+    return found.join(month, "order_id").groupBy("month", "reason").agg(F.count("*").alias("n_orders"))
+
+
 def feature_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source columns of every feature and whether they are known at purchase."""
     return origin_report(features_of(spark, sf_dir), FEATURES, FORBIDDEN_ORIGINS, DECLARED_ORIGINS)
@@ -720,6 +757,8 @@ BATCH_QUERIES: dict[str, Query] = {
     "mart_order_features": mart,
     "inference_mart": inference,
     "feature_origins": feature_origins,
+    "mart_refresh": mart_refresh,
+    "mart_refresh_reasons": mart_refresh_reasons,
     "late_rate_by_month": late_rate_by_month,
     "late_rate_by_day": late_rate_by_day,
     "visible_as_of": visible_orders,

@@ -130,9 +130,14 @@ def seller_record(pairs: DataFrame) -> DataFrame:
     return cumulative_counts(axis, "ts", ["n", "late"], ["seller_id"], bucket=F.to_date("ts"))
 
 
-def seller_totals(pairs: DataFrame, orders: DataFrame, sellers: DataFrame) -> DataFrame:
-    """One row per order from its sellers: nation match and record before the purchase."""
-    record = seller_record(pairs).select(
+def seller_totals(
+    pairs: DataFrame, orders: DataFrame, sellers: DataFrame, history: DataFrame | None = None
+) -> DataFrame:
+    """One row per order from its sellers: nation match and record before the purchase.
+
+    `history` has the pairs the record is taken from, `pairs` among them; by default it is `pairs`.
+    """
+    record = seller_record(pairs if history is None else history).select(
         F.col("seller_id").alias("_seller"), F.col("ts").alias("_ts"), "n_before", "late_before"
     )
     nations = orders.select("order_id", "customer_nation")
@@ -170,19 +175,23 @@ def _amount(hundredths):
 Save = Callable[[str, DataFrame], DataFrame]
 
 
-def order_features(roles: Roles, save: Save = lambda name, df: df) -> DataFrame:
+def order_features(
+    roles: Roles, save: Save = lambda name, df: df, record: Roles | None = None
+) -> DataFrame:
     """Key, dates, the 22 features and the label of every order; label NULL while not delivered.
 
     `save` may write an intermediate table and hand back what it read; by
-    default everything stays one lazy plan.
+    default everything stays one lazy plan. `record` has the orders and items
+    that the sellers' records need where `roles` is only a part of the orders.
     """
     orders = save("int_orders", with_lookup(roles.orders, roles.customers, "customer_id"))
     bought = save("int_order_products", order_products(roles.items))
     pairs = save("int_order_sellers", order_sellers(roles.items, orders))
+    history = None if record is None else order_sellers(record.items, record.orders)
     joined = orders.join(
         item_totals(bought, roles.products), "order_id", "left"
     ).join(
-        seller_totals(pairs, orders, roles.sellers), "order_id", "left"
+        seller_totals(pairs, orders, roles.sellers, history), "order_id", "left"
     )
     zero = F.lit(0)
     features = joined.select(

@@ -358,6 +358,23 @@ def oracles() -> dict[str, str]:
 SELECT {_FEATURE_COLUMNS}, CAST(is_late_delivery AS BIGINT) AS is_late_delivery
 FROM feat WHERE is_late_delivery IS NOT NULL""",
         "inference_mart": f"WITH {FEATURES} SELECT {_FEATURE_COLUMNS} FROM feat",
+        "mart_refresh": f"""WITH {FEATURES}
+SELECT {_FEATURE_COLUMNS}, CAST(is_late_delivery AS BIGINT) AS is_late_delivery FROM feat""",
+        "mart_refresh_reasons": f"""WITH {ORDERS},
+pair AS (SELECT DISTINCT l_orderkey AS order_id, l_suppkey AS seller_id FROM lineitem),
+fresh AS (SELECT * FROM ord WHERE day = (SELECT max(day) FROM ord)),
+told AS (SELECT * FROM ord WHERE CAST(delivered_at AS DATE) = (
+  SELECT max(CAST(delivered_at AS DATE)) FROM ord
+  WHERE CAST(delivered_at AS DATE) <= (SELECT max(day) FROM ord) - 60)),
+news AS (SELECT * FROM fresh UNION SELECT * FROM told),
+outcome AS (SELECT seller_id, delivered_at FROM news JOIN pair USING (order_id) WHERE delivered_at IS NOT NULL),
+why AS (
+  SELECT order_id, 'order' AS reason FROM news
+  UNION SELECT order_id, 'item' FROM fresh JOIN pair USING (order_id)
+  UNION SELECT o.order_id, 'history' FROM ord o JOIN pair p USING (order_id)
+    JOIN outcome u ON u.seller_id = p.seller_id AND u.delivered_at < o.purchase_ts)
+SELECT strftime(month, '%Y-%m-%d') AS month, reason, count(*) AS n_orders
+FROM why JOIN ord USING (order_id) GROUP BY month, reason""",
         "late_rate_by_month": f"""WITH {ORDERS}
 SELECT strftime(month, '%Y-%m-%d') AS month, count(*) AS n_rows,
   CAST(sum(label) AS BIGINT) AS n_positive, round(avg(label), 6) AS positive_rate
