@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,13 +39,15 @@ SENSITIVE = {
 HARMLESS = {"public", "name", "file", "path", "url", "uri", "length", "len", "type", "count", "expiry", "hint", "label", "field", "policy", "size"}
 PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|nil|true|false|todo|changeme|change_me|example|sample|test|dummy|your[_-].*|<.*>|\$.*|%.*%)$")
 
-TOKEN = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`)"""
-    r"""|(?P<name>[A-Za-z_$][\w$]*+(?:[.-][\w$]++)*+)"""
+STRINGS = {'"': r'"(?:[^"\\\n]|\\.)*+"', "'": r"'(?:[^'\\\n]|\\.)*+'", "`": r"`[^`\n]*+`"}
+TOKEN = (
+    r"""(?P<name>[A-Za-z_$][\w$]*+(?:[.-][\w$]++)*+)"""
     r"""|(?P<set>:=|=>|=(?!=)|:(?![:/]))"""
     r"""|(?P<plus>\+)"""
     r"""|(?P<other>[^\s\w"'`$]|[^\s"'`]++)"""
 )
+#: Code points of a value, pieces added up; anything longer is data and no secret.
+LONGEST = 4096
 BARE = re.compile(r"""[^\s,;"'`(){}\[\]<>]++""")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -57,14 +62,11 @@ def name_score(name: str) -> float:
 
 
 def literal_score(text: str) -> float:
-    """0 to 1 by length, variety of characters and entropy; prose, placeholders and short values give 0."""
-    if len(text) < 6 or PLACEHOLDERS.match(text) or any(c.isspace() for c in text):
+    """0 to 1 by length, variety of characters and entropy; prose, placeholders, short and very long values give 0."""
+    if not 6 <= len(text) <= LONGEST or PLACEHOLDERS.match(text) or any(c.isspace() for c in text):
         return 0.0
     n = len(text)
-    counts: dict[str, int] = {}
-    for c in text:
-        counts[c] = counts.get(c, 0) + 1
-    entropy = -sum(v / n * math.log2(v / n) for v in counts.values())
+    entropy = -sum(v / n * math.log2(v / n) for v in Counter(text).values())
     kinds = sum(bool(re.search(p, text)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return min(1.0, 0.25 * min(n, 20) / 20 + 0.5 * min(entropy, 4) / 4 + 0.25 * min(kinds, 3) / 3)
 
@@ -76,46 +78,91 @@ def _lines(text: str) -> Iterator[tuple[int, int]]:
             yield m.start(), m.end()
 
 
+def _lexer(unclosed: str) -> re.Pattern:
+    """Tokens of a line on which the quotes `unclosed` don't close any more; a further such quote is token `open`."""
+    strings = [p for q, p in STRINGS.items() if q not in unclosed]
+    quotes = "".join(q for q in STRINGS if q not in unclosed)
+    return re.compile("|".join([*([f"(?P<string>{'|'.join(strings)})"] if strings else []), TOKEN, *([f"(?P<open>[{quotes}])"] if quotes else [])]))
+
+
+LEXERS = {"".join(sorted(some)): _lexer("".join(some)) for n in range(4) for some in combinations(STRINGS, n)}
+
+
+def _tokens(text: str, lo: int, hi: int) -> list[tuple[str, int, int]]:
+    """Kind and bounds of the tokens of a line.
+
+    Behind a quote that nothing closes all quotes of its kind are escaped, so none of them
+    opens a string either; each kind is looked for in vain once a line.
+    """
+    tokens, unclosed = [], ""
+    while lo < hi:
+        for m in LEXERS[unclosed].finditer(text, lo, hi):
+            if m.lastgroup == "open":
+                unclosed, lo = "".join(sorted(unclosed + m.group())), m.end()
+                break
+            tokens.append((m.lastgroup, m.start(), m.end()))
+        else:
+            break
+    return tokens
+
+
 def pairs(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
     """Each name that is set to literals, and the literals with their bounds, in the order of the text.
 
-    A name that is set to a constant of the text gets that constant's literals.
+    A name that is set to a constant of the text gets that constant's literals. Values of more
+    than `LONGEST` code points, literals of constants included, give no pair, so what a
+    constant holds is bounded.
     """
-    constants: dict[str, list[tuple[str, int, int]]] = {}
+    constants: dict[str, list[tuple[str, int, int]] | None] = {}
     for lo, hi in _lines(text):
-        tokens = [(m.lastgroup, m.start(), m.end()) for m in TOKEN.finditer(text, lo, hi)]
+        tokens = _tokens(text, lo, hi)
+        starts = [t[1] for t in tokens]
+        run_lo = run_hi = lo  # the bare run that was found last
         for i, (kind, _, end) in enumerate(tokens):
             if kind != "set" or not i or tokens[i - 1][0] not in ("name", "string"):
                 continue
             left = i - 1
             if i >= 3 and text[tokens[i][1]] == "=" and tokens[i - 2][0] == "set" and tokens[i - 3][0] == "name":
                 left = i - 3  # name: type = value
-            name = text[tokens[left][1] : tokens[left][2]].strip("\"'`")
             literals: list[tuple[str, int, int]] = []
-            j, at = i + 1, end
-            while j < len(tokens):
+            size, j, at = 0, i + 1, end
+            while j < len(tokens) and size <= LONGEST:
                 kind, a, b = tokens[j]
                 if kind == "string":
-                    literals.append((text[a + 1 : b - 1], a + 1, b - 1))
+                    size += b - a - 1  # an empty string counts too
+                    if size <= LONGEST:
+                        literals.append((text[a + 1 : b - 1], a + 1, b - 1))
                     j += 1
                 else:
                     while at < hi and text[at] in " \t":
                         at += 1
-                    bare = BARE.match(text, at, hi)
-                    if not bare or bare.end() < hi and text[bare.end()] in "([{":  # a call or an index is no literal
+                    if not run_lo <= at < run_hi:
+                        bare = BARE.match(text, at, hi)
+                        if not bare:
+                            break
+                        run_lo, run_hi = bare.span()
+                    b = run_hi
+                    if b < hi and text[b] in "([{":  # a call or an index is no literal
+                        break
+                    if b - at > LONGEST:
+                        size += b - at
                         break
-                    word, b = bare.group(), bare.end()
-                    literals.extend(constants.get(word, [(word, at, b)]))
-                    while j < len(tokens) and tokens[j][1] < b:
-                        j += 1
+                    word = text[at:b]
+                    held = constants.get(word, [(word, at, b)])
+                    size += LONGEST + 1 if held is None else sum(max(1, len(x)) for x, _, _ in held)
+                    if size <= LONGEST:
+                        literals.extend(held)
+                    j = bisect_left(starts, b, j)
                 at = b
                 if j + 1 < len(tokens) and tokens[j][0] == "plus" and literals:
                     at, j = tokens[j][2], j + 1
                     continue
                 break
-            if literals:
-                constants[name] = literals
-                yield name, literals
+            if literals or size > LONGEST:
+                name = text[tokens[left][1] : tokens[left][2]].strip("\"'`")
+                constants[name] = literals if size <= LONGEST else None
+                if size <= LONGEST:
+                    yield name, literals
 
 
 def spans(text: str | None, least: float = 0.6) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
