@@ -22,6 +22,13 @@ from orderflow.llm.tasks import in_arrow
 BUCKETS = 1 << 13
 _SHIFT = np.uint32(32 - 13)
 _ROWS = 128
+#: Weight of an even distribution in the share of an n-gram under a label.
+_EVEN = 0.05
+#: Variance of the mean cost between long texts of one language.
+_BETWEEN = 0.05
+#: Held-out rows from which on strangeness is judged, and room above the strangest right one.
+_JUDGED = 50
+_ROOM = 1.5
 
 #: Letters a to z, A-Z as a to z, bytes beyond ASCII as they are, all else a blank.
 _LETTER = np.where(((textops.LOWER >= 97) & (textops.LOWER <= 122)) | (np.arange(256) >= 128), textops.LOWER, 32).astype(
@@ -59,6 +66,8 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    surprise: np.ndarray  # what an n-gram costs under a label, minus log share: labels x BUCKETS
+    limit: float  # the most that a text may cost under its label, in spreads
 
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
         total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
@@ -66,12 +75,29 @@ class Model:
         e = np.exp(logits - logits.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-
-def fit(counts: np.ndarray, label: np.ndarray, labels: list[str], seed: int, epochs: int, width: int, reject: float) -> Model:
-    """Trains on four fifths of the rows; the rest sets temperature and rejection threshold.
-
-    The threshold is the `reject` quantile of the calibrated probability that held-out rows
-    give their own label, 0.5 at most.
+    def strangeness(self, counts: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """How far a text's mean cost under its label lies above the label's own, in spreads.
+
+        The spread is that of the n-grams, less the more of them a text has, and a fixed part
+        for what texts of one language differ by.
+        """
+        cost = self.surprise.astype(float)
+        share = np.exp(-cost)
+        mean = (share * cost).sum(axis=1)
+        variance = (share * cost**2).sum(axis=1) - mean**2
+        n = np.maximum(counts.sum(axis=1), 1)
+        own = np.array([c @ cost[j] for c, j in zip(counts, label, strict=True)]) / n
+        return (own - mean[label]) / np.sqrt(variance[label] / n + _BETWEEN)
+
+
+def fit(counts: np.ndarray, label: np.ndarray, labels: list[str], seed: int, epochs: int, width: int, reject: float, precise: float = 0.99) -> Model:
+    """Trains on four fifths of the rows; the rest sets temperature and what is rejected.
+
+    The threshold is the smallest probability from which on `precise` of the held-out rows are
+    right, but never one that rejects more than `reject` of the right rows. A softmax is sure of
+    languages that it never saw too, so a text is also rejected whose n-grams cost more under
+    its label than `_ROOM` times what the strangest right held-out row does; with fewer
+    than `_JUDGED` held-out rows nothing is rejected for that.
     """
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(label))
@@ -87,7 +113,7 @@ def fit(counts: np.ndarray, label: np.ndarray, labels: list[str], seed: int, epo
     steps, step = epochs * -(-len(train) // 32), 0
     for _ in range(epochs):
         for lo in range(0, len(train), 32):
-            rows = rng.permutation(train)[:32] if lo == 0 else train[lo : lo + 32]
+            rows = train[lo : lo + 32]
             rate = 0.5 * (1 - step / steps)
             step += 1
             hidden = x[rows] @ embedding
@@ -100,7 +126,10 @@ def fit(counts: np.ndarray, label: np.ndarray, labels: list[str], seed: int, epo
             bias -= rate * error.sum(axis=0)
             embedding -= (rate / scale) * (x[rows].T @ back)
         rng.shuffle(train)
-    model = Model(labels, embedding @ weight, bias, 1.0, 0.0)
+    held = np.stack([x[train[label[train] == j]].sum(axis=0, dtype=float) for j in range(len(labels))])
+    held /= np.maximum(held.sum(axis=1, keepdims=True), 1e-12)
+    surprise = -np.log(held * (1 - _EVEN) + _EVEN / BUCKETS).astype(np.float32)
+    model = Model(labels, embedding @ weight, bias, 1.0, 0.0, surprise, float("inf"))
 
     def loss(temperature: float) -> float:
         model.temperature = temperature
@@ -108,8 +137,18 @@ def fit(counts: np.ndarray, label: np.ndarray, labels: list[str], seed: int, epo
         return float(-np.log(np.maximum(own, 1e-12)).mean())
 
     model.temperature = min((float(t) for t in np.geomspace(0.25, 8, 41)), key=loss)
-    own = model.probabilities(counts[test])[np.arange(len(test)), label[test]]
-    model.threshold = float(min(0.5, np.quantile(own, reject)))
+    p = model.probabilities(counts[test])
+    best, top = p.argmax(axis=1), p.max(axis=1)
+    right = best == label[test]
+    if right.any():
+        rising = np.argsort(top, kind="stable")
+        kept = np.cumsum(right[rising][::-1])[::-1] / np.arange(len(rising), 0, -1)
+        precisely = np.flatnonzero(kept >= precise)
+        wanted = top[rising[precisely[0]]] if len(precisely) and precisely[0] else 0.0 if len(precisely) else 1.0
+        model.threshold = float(min(wanted, np.quantile(top[right], reject)))
+        if len(test) >= _JUDGED:
+            strange = model.strangeness(counts[test][right], best[right])
+            model.limit = _ROOM * float(max(1.0, strange.max()))
     return model
 
 
@@ -200,16 +239,19 @@ def _predicted(model: Model | None, at: int, drop: bool) -> Callable[[Iterator[p
             known = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             best = np.zeros(batch.num_rows, np.int64)
             score = np.zeros(batch.num_rows)
+            strange = np.zeros(batch.num_rows)
             if model is None:
                 known[:] = False
             for lo, hi, data, offsets in textops.slices(text):
                 rows = np.flatnonzero(known[lo:hi])
                 for part in np.array_split(rows, max(1, -(-len(rows) // _ROWS))):
                     if len(part):
-                        p = model.probabilities(np.stack([features(data[offsets[i] : offsets[i + 1]]) for i in part]))
+                        found = np.stack([features(data[offsets[i] : offsets[i + 1]]) for i in part])
+                        p = model.probabilities(found)
                         best[lo + part], score[lo + part] = p.argmax(axis=1), p.max(axis=1)
+                        strange[lo + part] = model.strangeness(found, best[lo + part])
             lang = [model.labels[b] if k else "und" for b, k in zip(best, known, strict=True)]
-            rejected = ~known | (score < (model.threshold if model else 1))
+            rejected = ~known | (score < (model.threshold if model else 1)) | (strange > (model.limit if model else 0))
             kept = [i for i in range(batch.num_columns - 1) if not (drop and i == at)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -229,7 +271,8 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str
 
     `_lang` is a learned label, or `und` (score 0, rejected) if the text is null or has no
     letter, or if nothing was learned. `_score` is the calibrated probability of the label;
-    below the model's threshold the row is rejected. Prediction sees the text alone.
+    below the model's threshold, or with n-grams too strange for the label, the row is rejected.
+    Prediction sees the text alone.
     """
     drop = text_col not in keep
     every = [*keep, text_col] if drop else keep
