@@ -64,10 +64,10 @@ def argument_errors(arguments: Column, params: Column) -> Column:
     """What speaks against a JSON object under `params`, an array of (param, type, required), in the order of the names."""
     value = F.try_parse_json(arguments)
     kind = F.schema_of_variant(value)
+    fields = F.try_variant_get(value, "$", "map<string,variant>")  # names are data, so none goes into a path
 
     def one(p: Column) -> Column:
-        path = F.concat(F.lit("$['"), p["param"], F.lit("']"))
-        found = F.call_function("try_variant_get", value, path, F.lit("variant"))
+        found = F.try_element_at(fields, p["param"])
         fits = F.lit(False)
         for name, pattern in TYPES.items():
             fits = fits | ((p["type"] == name) & F.schema_of_variant(found).rlike(pattern))
@@ -75,7 +75,7 @@ def argument_errors(arguments: Column, params: Column) -> Column:
         return F.when(found.isNull(), missing).when(~fits, F.concat(F.lit("type of "), p["param"]))
 
     known = F.coalesce(params, F.array().cast("array<struct<param:string,type:string,required:boolean>>"))
-    extra = F.filter(F.json_object_keys(F.to_json(value)), lambda k: ~F.exists(known, lambda p: p["param"] == k))
+    extra = F.filter(F.map_keys(fields), lambda k: ~F.exists(known, lambda p: p["param"] == k))
     every = F.concat(F.filter(F.transform(known, one), lambda e: e.isNotNull()), F.transform(extra, lambda k: F.concat(F.lit("unknown "), k)))
     return F.when(value.isNull() | ~kind.startswith("OBJECT"), F.array(F.lit("not an object"))).when(
         params.isNull(), F.array(F.lit("no such tool"))

@@ -113,3 +113,14 @@ def test_plan_has_no_python(spark):
     found = chat.link(calls, spark.createDataFrame([], RESULTS), spark.createDataFrame([], TOOLS))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_names_of_parameters_may_hold_any_character(spark):
+    names = ["it's", "a.b", "x']['y", 'say "hi"', "$", "ä[0]", "", "*"]
+    tools = [("t", n, "string", True) for n in names]
+    given = [(json.dumps(dict.fromkeys(names, "v")), []), (json.dumps({"it's": 1, "a": {"b": "v"}, "o'k": None}), ["missing " + n for n in names if n != "it's"] + ["type of it's", "unknown a", "unknown o'k"])]
+    rows = [(f"c{i}", a) for i, (a, _) in enumerate(given)]
+    calls = spark.createDataFrame([("v", i, 1, "t", a, []) for i, a in rows], "conv string, id string, turn long, name string, arguments string, after array<string>")
+    results = spark.createDataFrame([("v", i, 2, "r") for i, _ in rows], "conv string, id string, turn long, content string")
+    found = {r.id: r.errors for r in chat.link(calls, results, spark.createDataFrame(tools, "name string, param string, type string, required boolean")).collect()}
+    assert found == {f"c{i}": sorted(errors) for i, (_, errors) in enumerate(given)}
