@@ -57,50 +57,63 @@ def size_bands(percent: int) -> np.ndarray:
     return np.array(firsts)
 
 
+def differing(size: np.ndarray, most: np.ndarray, percent: int) -> np.ndarray:
+    """How many shingles a set of `size` and any set that it links with, of `most` at most, may differ by."""
+    return (100 - percent) * (size + np.minimum(size * 100 // percent, most)) // (100 + percent)
+
+
 def parts_of(first: np.ndarray, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of parts for sets that meet in a band, and how many of them may be empty and carry no token.
+    """Number of parts for sets that meet in a band, and the largest size of a set there.
 
     Sets of at most `most` shingles differ by at most `differ` of them, so `differ + 1` parts
-    that aren't empty in both always hold an equal one. Room for empty parts follows their
-    expected share; a set with more of them carries tokens for all. No room for a difference
-    means equal sets: one class, no token.
+    always hold an equal one. More parts, after the share of empty ones that the largest
+    sets have, let it be one that isn't empty. No room for a difference means equal sets:
+    one class, no token.
     """
     most = first[np.minimum(band + 1, len(first) - 1)] - 1
-    differ = (100 - percent) * 2 * most // (100 + percent)
-    share = int(160 * np.exp(-((percent / 100) ** 2) * (100 + percent) / max(2 * (100 - percent), 1)))
-    spare = 3 + (differ + 1) * share // 100
-    return np.where(differ > 0, differ + 1 + spare, 0), spare
+    differ = differing(most, most, percent)
+    share = int(np.ceil(200 * np.exp(-(100 + percent) / max(2 * (100 - percent), 1))))
+    return np.where(differ > 0, differ + 4 + (differ + 1) * share // 100, 0), most
 
 
 def coarse_tokens(
     doc: np.ndarray, value: np.ndarray, rows: int, percent: int, common: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Row and coarse token of the distinct shingles (`doc`, `value`) of `rows` texts; `common` is sorted."""
+    """Row and coarse token of the distinct shingles (`doc`, `value`) of `rows` texts; `common` is sorted.
+
+    A set with more parts that aren't empty than it may differ by shares one of them with
+    every set that it links with. Sets left with too few once the common shingles are out
+    also carry tokens of all their shingles, for one another, and sets with too few parts
+    even so the tokens of their empty ones.
+    """
     firsts = size_bands(percent)
     size = np.bincount(doc, minlength=rows)
     band = np.searchsorted(firsts, size, "right") - 1
+    kinds = [(doc, value)]
     if len(common):
         rare = common[np.minimum(np.searchsorted(common, value), len(common) - 1)] != value
-        doc, value = doc[rare], value[rare]
+        kinds.insert(0, (doc[rare], value[rare]))
     out_rows, out_tokens = [], []
     for here in (band, band + 1):  # a band's pairs meet in its own tokens or in the next band's
-        parts, spare = parts_of(firsts, here, percent)
-        parts = np.where(size > 0, parts, 0)
-        first = np.concatenate([[0], np.cumsum(parts)])
-        used = parts[doc] > 0
-        d, v = doc[used], value[used]
-        salt = textops.mix(here[d].astype(_U) + _U(0x51ED270B))
-        slot = first[d] + (textops.mix(v ^ salt) % parts[d].astype(_U)).astype(np.int64)
-        total = np.zeros(first[-1], _U)
-        np.add.at(total, slot, textops.mix(v + salt))
-        filled = np.bincount(slot, minlength=first[-1]) > 0
-        owner = np.repeat(np.arange(rows), parts)
-        part = np.arange(first[-1]) - first[owner]
-        empty = np.bincount(owner, weights=~filled, minlength=rows)
-        keep = filled | (empty > spare)[owner]
-        place = textops.mix(part.astype(_U) + textops.mix(here[owner].astype(_U) + _U(7)))
-        out_rows.append(owner[keep])
-        out_tokens.append(textops.mix(total + place)[keep])
+        every, most = parts_of(firsts, here, percent)
+        few = size > 0
+        for kind, (d, v) in enumerate(kinds):
+            parts = np.where(few, every, 0)
+            first = np.concatenate([[0], np.cumsum(parts)])
+            used = parts[d] > 0
+            d, v = d[used], v[used]
+            salt = textops.mix(here[d].astype(_U) + _U(0x51ED270B + kind))
+            slot = first[d] + (textops.mix(v ^ salt) % parts[d].astype(_U)).astype(np.int64)
+            total = np.zeros(first[-1], _U)
+            np.add.at(total, slot, textops.mix(v + salt))
+            filled = np.bincount(slot, minlength=first[-1]) > 0
+            owner = np.repeat(np.arange(rows), parts)
+            part = np.arange(first[-1]) - first[owner]
+            few &= np.bincount(owner, weights=filled, minlength=rows) <= differing(size, most, percent)
+            keep = filled | few[owner] if kind == len(kinds) - 1 else filled
+            place = textops.mix(part.astype(_U) + textops.mix(here[owner].astype(_U) + _U(7 + kind)))
+            out_rows.append(owner[keep])
+            out_tokens.append(textops.mix(total + place)[keep])
     return np.concatenate(out_rows), np.concatenate(out_tokens)
 
 
@@ -256,22 +269,46 @@ def _shingles(k: int, seed: int, wanted: np.ndarray) -> Callable[[Iterator[pa.Re
     return run
 
 
-def _set_tokens(percent: int, common: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(`cls`, `token`): every coarse token of each class's shingles."""
+def _leads(percent: int, common: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each class's smallest coarse token (`lead`) in place of its shingles, the last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cls = batch.column(0).to_numpy()
-            sets = batch.column(1)
-            doc = np.repeat(np.arange(len(cls)), np.diff(sets.offsets.to_numpy()))
-            owner, token = coarse_tokens(doc, sets.flatten().to_numpy().view(_U), len(cls), percent, common)
+            at = batch.num_columns - 1
+            owner, token = coarse_tokens(*_entries(batch.column(at)), batch.num_rows, percent, common)
+            lead = np.full(batch.num_rows, np.iinfo(np.uint64).max, _U)
+            np.minimum.at(lead, owner, token)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cls[owner], pa.int64()), pa.array(textops.signed(token), pa.int64())], names=["cls", "token"]
+                [*batch.columns[:at], pa.array(textops.signed(lead), pa.int64())], names=[*batch.schema.names[:at], "lead"]
             )
 
     return run
 
 
+def _part_tokens(percent: int, common: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(`token`, `part`): the coarse tokens of each part's members, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sets = batch.column(1)[i].values.field("shingles")
+                token = np.unique(coarse_tokens(*_entries(sets), len(sets), percent, common)[1])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(textops.signed(token), pa.int64()),
+                        pa.array(np.full(len(token), batch.column(0)[i].as_py()), pa.int64()),
+                    ],
+                    names=["token", "part"],
+                )
+
+    return run
+
+
+def _entries(sets: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each entry's set, and the entry."""
+    return np.repeat(np.arange(len(sets)), np.diff(sets.offsets.to_numpy())), sets.flatten().to_numpy().view(_U)
+
+
 class _Group:
     """Members of a group: class, copies, sorted shingles."""
 
@@ -439,14 +476,13 @@ class JaccardJoin:
             .join(similar.join(whole, "root").select("cls", "copies", "size", "root", "cuts"), "cls"),
             "jaccard-sets",
         )
-        large = materialize(
+        large = sets.where("cuts > 1")
+        lead = materialize(
             in_arrow(
-                sets.where("cuts > 1").select("cls", "shingles"), _set_tokens(self.percent, common), "cls long, token long"
+                large.select("cls", "root", "size", "cuts", "shingles"),
+                _leads(self.percent, common),
+                "cls long, root long, size long, cuts long, lead long",
             ),
-            "jaccard-tokens",
-        )
-        lead = materialize(
-            large.groupBy("cls").agg(F.min("token").alias("lead")).join(sets.select("cls", "root", "size", "cuts"), "cls"),
             "jaccard-leads",
         )
         fine = lead.groupBy("root", "lead").agg(_parts().alias("again"))
@@ -457,8 +493,8 @@ class JaccardJoin:
         cut = materialize(cut, "jaccard-parts")
         members = F.collect_list(F.struct("cls", "copies", "shingles")).alias("members")
         entire = sets.where("cuts = 1").groupBy("root").agg(members).select("members")
-        parts = materialize(sets.where("cuts > 1").join(cut, "cls").groupBy("part").agg(members), "jaccard-part-sets")
-        matrix = materialize(large.join(cut, "cls").select("token", "part").distinct(), "jaccard-matrix")
+        parts = materialize(large.join(cut, "cls").groupBy("part").agg(members), "jaccard-part-sets")
+        matrix = materialize(in_arrow(parts, _part_tokens(self.percent, common), "token long, part long"), "jaccard-matrix")
         pairs = (
             matrix.select("token", F.col("part").alias("p1"))
             .join(matrix.select("token", F.col("part").alias("p2")), "token")

@@ -3,6 +3,7 @@
 import random
 
 import helpers
+import numpy as np
 import pytest
 
 from orderflow.llm import jaccard
@@ -96,6 +97,60 @@ def test_common_shingles_are_found_and_cost_no_link(spark, monkeypatch):
     assert joined.members.selectExpr("inline(common)").count() > 0
 
 
+def _tokens_of(sets, percent, common):
+    doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    value = np.array([v for x in sets for v in sorted(x)], np.uint64)
+    owner, token = jaccard.coarse_tokens(doc, value, len(sets), percent, np.array(sorted(common), np.uint64))
+    return [set(token[owner == i].tolist()) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_strangers_of_mostly_common_shingles_share_no_token(percent):
+    rng = np.random.default_rng(4)
+    pool = rng.integers(1, 1 << 60, 5000).tolist()
+    sets = [set(rng.choice(pool, 50, replace=False).tolist()) | set(rng.integers(1 << 61, 1 << 62, 5).tolist()) for _ in range(60)]
+    held = _tokens_of(sets, percent, pool)
+    assert sum(bool(a & b) for i, a in enumerate(held) for b in held[:i]) <= 10  # before: nearly all, by their empty parts
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_share_a_token_whatever_is_common(percent):
+    rng = random.Random(percent)
+    pool = [rng.getrandbits(60) for _ in range(4000)]
+    for share in (0, 0.3, 0.7, 0.95, 1):
+        common = set(rng.sample(pool, int(share * len(pool))))
+        sets = []
+        for size in (3, 8, 15, 40, 150, 400):
+            for _ in range(8):
+                base = rng.sample(pool, size)
+                most = size * (100 - percent) // 100
+                sets.append(set(base))
+                sets.append(set(base[rng.randrange(most + 1) :]))
+                sets.append(set(base) | {rng.choice(pool) for _ in range(rng.randrange(most + 1))})
+        held = _tokens_of(sets, percent, common)
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if a != b and 100 * len(a & b) >= percent * len(a | b):
+                    assert held[i] & held[j]
+
+
+def test_a_large_group_is_joined_by_class_not_by_token(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP_SHINGLES", 400)
+    written, real = {}, jaccard.materialize
+
+    def materialize(df, label, *rest):
+        written[label] = real(df, label, *rest)
+        return written[label]
+
+    monkeypatch.setattr(jaccard, "materialize", materialize)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(40)]
+    _, got = run(spark, rows, 3, 80)
+    assert sorted(got) == sorted(helpers.jaccard(rows, 3, 80))
+    assert written["jaccard-part-sets"].count() > 1
+    assert all(df.count() <= len(rows) for label, df in written.items() if label not in ("jaccard-matrix", "jaccard-held", "jaccard-links"))
+
+
 def test_extra_columns_and_empty_tables(spark):
     docs = spark.createDataFrame([(7, "a b c", 1, "x"), (8, "a b c", 2, "y")], "size long, body string, cls int, tokens string")
     got = JaccardJoin(docs, id_col="size", text_col="body", k=3, percent=90).per_document().collect()

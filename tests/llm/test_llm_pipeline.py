@@ -5,9 +5,11 @@ from collections import Counter
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from tools.compare import connect, rows_of
 
 import __spark_entry__ as contract
+from orderflow.llm.membership import without
 from orderflow.llm.oracles import ORACLES
 
 BODY = " ".join(f"the word{i} and thing{i % 7} of stone" for i in range(40))
@@ -45,6 +47,28 @@ def test_every_stage_takes_effect(spark, folder):
     assert seen["shard"] == seen["mix"]
 
 
+def test_few_texts_are_shuffled_to_leave_some_out(spark):
+    rows = [(i % 700, f"text {i % 900}") for i in range(2000)] + [(None, "text 1"), (None, None), (3, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lost = [(1, "text 1"), (2, "text 702"), (None, "text 1"), (3, None), (9, "text 8"), (1, "text 1")]
+    out = spark.createDataFrame(lost, "id long, gone string")
+    match = docs["doc_id"].eqNullSafe(out["id"]) & docs["text"].eqNullSafe(out["gone"])
+    keys = F.xxhash64(docs["doc_id"], docs["text"]), F.xxhash64("id", "gone")
+    for bits in (6, 10, 24):  # almost all rows, or few, meet the join
+        got = without(docs, out, match, *keys, bits=bits)
+        assert Counter(tuple(r) for r in got.collect()) == Counter(r for r in rows if r not in lost)
+    assert without(docs, out.limit(0), match, *keys).count() == len(rows)
+
+
+def test_only_suspects_of_a_stage_are_shuffled(spark, folder, monkeypatch):
+    calls = []
+    monkeypatch.setattr(corpus_pipeline, "without", lambda *a, **k: calls.append(a[1].count()) or without(*a, **k))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.decontaminate):
+        docs = stage(spark, docs, folder)
+    assert docs.count() and len(calls) == 2 and min(calls) > 0
+
+
 def test_stages_of_an_empty_table(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
