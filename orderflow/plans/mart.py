@@ -18,8 +18,9 @@ from orderflow.operators.cumulative import cumulative_counts
 from orderflow.operators.lookup import with_lookup
 from orderflow.operators.origin import assert_origins
 from orderflow.operators.training import FeatureSpec
-from orderflow.sources.layers import write_layer
+from orderflow.sources.layers import layer_path, write_layer
 from orderflow.sources.roles import Roles
+from orderflow.workspace import drop_folder
 
 LABEL = "is_late_delivery"
 
@@ -76,20 +77,30 @@ def order_products(items: DataFrame) -> DataFrame:
     )
 
 
+def item_brands(pairs: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per order: the number of brands among its products."""
+    bought = pairs.select("order_id", "product_id")
+    return (
+        with_lookup(bought, products.select("product_id", "brand"), "product_id")
+        .groupBy("order_id")
+        .agg(F.count_distinct("brand").alias("n_brands"))
+    )
+
+
 def item_totals(pairs: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per order from its products.
+    """One row per order from its products, brands aside.
 
     At the grain of (order, product) the number of products is a row count,
-    so only brands need a distinct count and no row is expanded.
+    so no row is expanded. Brands need a distinct count, which shuffles twice:
+    `item_brands` does that without the amounts.
     """
     n = F.col("n")
     return (
-        with_lookup(pairs, products, "product_id")
+        with_lookup(pairs, products.drop("brand"), "product_id")
         .groupBy("order_id")
         .agg(
             F.sum("n").alias("n_items"),
             F.count("*").alias("n_products"),
-            F.count_distinct("brand").alias("n_brands"),
             F.sum("price").alias("sum_price"),
             F.max("max_price").alias("max_price"),
             F.sum("quantity").alias("sum_qty"),
@@ -115,9 +126,10 @@ def seller_record(pairs: DataFrame) -> DataFrame:
     """Per (seller, purchase time): outcomes strictly before it and the late ones among them.
 
     Outcomes and purchases of a seller are laid on one time axis and summed
-    up by `cumulative_counts` with days as buckets, so a seller with very
-    many orders is spread over its days. An open outcome has no time and is
-    left out there.
+    up by `cumulative_counts` with months as buckets, so a seller with very
+    many orders is spread over its months. Days would hold little more than a
+    row each, and their totals as many rows as the axis. An open outcome has no
+    time and is left out there.
     """
     def point(ts: str, n, late):
         return F.struct(
@@ -127,18 +139,28 @@ def seller_record(pairs: DataFrame) -> DataFrame:
     purchase = point("purchase_ts", F.lit(0), F.lit(0))
     outcome = point("delivered_at", F.lit(1), F.col("_late"))
     axis = pairs.select("seller_id", F.inline(F.array(purchase, outcome)))
-    return cumulative_counts(axis, "ts", ["n", "late"], ["seller_id"], bucket=F.to_date("ts"))
+    return cumulative_counts(axis, "ts", ["n", "late"], ["seller_id"], bucket=month_of(F.to_date("ts")))
+
+
+Save = Callable[[str, DataFrame], DataFrame]
+
+
+def _unsaved(name: str, df: DataFrame) -> DataFrame:
+    return df
 
 
 def seller_totals(
-    pairs: DataFrame, orders: DataFrame, sellers: DataFrame, history: DataFrame | None = None
+    pairs: DataFrame, orders: DataFrame, sellers: DataFrame, history: DataFrame | None = None, save: Save = _unsaved
 ) -> DataFrame:
     """One row per order from its sellers: nation match and record before the purchase.
 
     `history` has the pairs the record is taken from, `pairs` among them; by default it is `pairs`.
     """
-    record = seller_record(pairs if history is None else history).select(
-        F.col("seller_id").alias("_seller"), F.col("ts").alias("_ts"), "n_before", "late_before"
+    record = save(
+        "seller_record",
+        seller_record(pairs if history is None else history).select(
+            F.col("seller_id").alias("_seller"), F.col("ts").alias("_ts"), "n_before", "late_before"
+        ),
     )
     nations = orders.select("order_id", "customer_nation")
     same = F.col("seller_nation") == F.col("customer_nation")
@@ -172,11 +194,8 @@ def _amount(hundredths):
     return hundredths / F.lit(100.0)
 
 
-Save = Callable[[str, DataFrame], DataFrame]
-
-
 def order_features(
-    roles: Roles, save: Save = lambda name, df: df, record: Roles | None = None
+    roles: Roles, save: Save = _unsaved, record: Roles | None = None
 ) -> DataFrame:
     """Key, dates, the 22 features and the label of every order; label NULL while not delivered.
 
@@ -188,11 +207,13 @@ def order_features(
     bought = save("int_order_products", order_products(roles.items))
     pairs = save("int_order_sellers", order_sellers(roles.items, orders))
     history = None if record is None else order_sellers(record.items, record.orders)
-    joined = orders.join(
-        item_totals(bought, roles.products), "order_id", "left"
-    ).join(
-        seller_totals(pairs, orders, roles.sellers, history), "order_id", "left"
-    )
+    joined = orders
+    for name, part in (
+        ("item_totals", item_totals(bought, roles.products)),
+        ("item_brands", item_brands(bought, roles.products)),
+        ("seller_totals", seller_totals(pairs, orders, roles.sellers, history, save)),
+    ):
+        joined = joined.join(save(name, part), "order_id", "left")
     zero = F.lit(0)
     features = joined.select(
         "order_id",
@@ -226,12 +247,27 @@ def build_layers(roles: Roles, root: str) -> DataFrame:
     """Write the intermediate tables and the features of all orders, partitioned by month.
 
     Deliveries and order-seller pairs are read several times further down;
-    written once, they are not recomputed. Returns the written table.
+    written once, they are not recomputed. The parts of the features are
+    written in turn, so that the disk holds the shuffles of one of them at a
+    time, and dropped at the end. The written parts hide the sources behind
+    them, so the origins are followed through the unwritten plan as well.
+    Returns the written table.
     """
-    features = order_features(
-        roles, lambda name, df: write_layer(df, root, "intermediate", name)
-    )
-    return write_layer(features, root, "marts", "order_features", ["month"])
+    order_features(roles)
+    spark = roles.orders.sparkSession
+    parts: list[str] = []
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        if name.startswith("int_"):
+            return write_layer(df, root, "intermediate", name)
+        parts.append(layer_path(root, "intermediate", f"part_{name}"))
+        return write_layer(df, root, "intermediate", f"part_{name}")
+
+    try:
+        return write_layer(order_features(roles, save), root, "marts", "order_features", ["month"])
+    finally:
+        for path in parts:
+            drop_folder(spark, path)
 
 
 def mart_order_features(features: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.workspace import drop_folder, shuffles_freed
+
 # The layers of the pipeline, from source copies to features.
 LAYERS = ("raw", "staging", "intermediate", "marts", "seeds")
 
@@ -28,9 +30,10 @@ def write_layer(
     """
     path = layer_path(root, layer, table)
     out = df.hint("rebalance", *partition_by) if partition_by else df
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(path)
+    with shuffles_freed(df.sparkSession):
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            *partition_by
+        ).parquet(path, compression="zstd")
     return read_layer(df.sparkSession, root, layer, table, df)
 
 
@@ -52,11 +55,6 @@ def _data_files(spark: SparkSession, path: str) -> frozenset[str]:
     return frozenset(status.getPath().getName() for status in fs.listStatus(target))
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def replace_partitions(
     df: DataFrame, path: str, days: Sequence[date], day_col: str = "day"
 ) -> list[date]:
@@ -71,20 +69,21 @@ def replace_partitions(
     spark = df.sparkSession
     folders = {day: f"{path}/{day_col}={day.isoformat()}" for day in sorted(set(days))}
     before = {day: _data_files(spark, folder) for day, folder in folders.items()}
-    (
-        df.where(F.col(day_col).isin(list(folders)))
-        .hint("rebalance", day_col)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day_col)
-        .parquet(path)
-    )
+    with shuffles_freed(spark):
+        (
+            df.where(F.col(day_col).isin(list(folders)))
+            .hint("rebalance", day_col)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(day_col)
+            .parquet(path)
+        )
     emptied = [
         day for day, folder in folders.items()
         if before[day] and _data_files(spark, folder) == before[day]
     ]
     for day in emptied:
-        _drop_folder(spark, folders[day])
+        drop_folder(spark, folders[day])
     return emptied
 
 

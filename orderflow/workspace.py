@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_writing = threading.Lock()
+#: Writes under way, and what the session said before the first of them.
+_writes: list[str | None] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +40,34 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside are deleted when each write ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, and those of
+    one write after another add up. A write plans anew, so nothing else reads them.
+    """
+    with _writing:
+        _writes.append(_writes[0] if _writes else spark.conf.get(_CLEANUP, None))
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _writing:
+            before = _writes.pop()
+            if not _writes:
+                if before is None:
+                    spark.conf.unset(_CLEANUP)
+                else:
+                    spark.conf.set(_CLEANUP, before)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write `df` to the shared folder once and read it back.
 
@@ -42,5 +77,6 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     spark = df.sparkSession
     path = run_dir(spark, label)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    with shuffles_freed(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
