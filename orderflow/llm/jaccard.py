@@ -35,8 +35,12 @@ COMMON_SHARE = 0.0002
 LEAST_COMMON = 16
 WINDOW_SHINGLES = 4_000_000
 WINDOW_LEAST = 4
+#: A window is counted in so many ranges of shingles, by their first bits.
+_RANGE_BITS = 4
 #: Common shingles left out at most, the most frequent ones; any choice gives the same links.
 MOST_COMMON = 100_000
+#: Bytes of the texts whose coarse tokens are worked out at once; tokens take several times that.
+TOKEN_BYTES = 1 << 20
 #: Shingles and members of a group, about.
 GROUP_SHINGLES = 1_000_000
 GROUP_MEMBERS = 8192
@@ -139,6 +143,18 @@ def _common_of(value: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndar
     return value[first[many]], held[many]
 
 
+def _common_of_window(window: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """`_common_of` the whole window, worked out for one range of shingles after another: sorting takes the memory of a range."""
+    found = []
+    for top in range(1 << _RANGE_BITS):
+        own = [(v >> _U(64 - _RANGE_BITS)) == _U(top) for v, _ in window]
+        value = np.concatenate([v[at] for (v, _), at in zip(window, own, strict=True)])
+        size = np.concatenate([s[at] for (_, s), at in zip(window, own, strict=True)])
+        found.append(_common_of(value, size))
+    shingle, held = (np.concatenate(x) for x in zip(*found, strict=True))
+    return shingle, held
+
+
 def _sets(k: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds set size, class and second digest to rows in place of the text, the last column.
 
@@ -152,9 +168,8 @@ def _sets(k: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         waiting: pa.RecordBatch | None = None
 
         def closed(rows: pa.RecordBatch) -> pa.RecordBatch:
-            value, size = (np.concatenate(x) for x in zip(*window, strict=True))
+            shingle, held = _common_of_window(window)
             window.clear()
-            shingle, held = _common_of(value, size)
             entries = pa.StructArray.from_arrays(
                 [pa.array(textops.signed(shingle), pa.int64()), pa.array(held, pa.int64())], fields=list(held_type)
             )
@@ -222,7 +237,7 @@ def _tokens(k: int, percent: int, seed: int, common: np.ndarray) -> Callable[[It
         seen: set[int] = set()
         for batch in batches:
             classes, tokens = [], []
-            for lo, hi, data, offsets in textops.slices(batch.column(0)):
+            for lo, hi, data, offsets in textops.slices(batch.column(0), TOKEN_BYTES):
                 doc, value = textops.Words(data, offsets, textops.SPACED).shingles(k)
                 size, cls, _ = _class_of(doc, value, hi - lo, seed)
                 own = _fresh(cls, size, seen)[doc]

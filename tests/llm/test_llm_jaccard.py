@@ -181,3 +181,31 @@ def test_components_of_chains_and_stars(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), 500: 500}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_a_window_is_counted_in_ranges_with_the_memory_of_one():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    window = []
+    for _ in range(5):
+        value = rng.integers(0, 2**64, 100_000, dtype=np.uint64)
+        value[:30_000] = np.uint64(0x9E3779B97F4A7C15) * rng.integers(0, 5_000, 30_000).astype(np.uint64)
+        window.append((value, rng.integers(1, 90, 100_000).astype(np.int32)))
+    whole = jaccard._common_of(*(np.concatenate(x) for x in zip(*window, strict=True)))
+    tracemalloc.start()
+    shingle, held = jaccard._common_of_window(window)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(shingle) > 4_000 and (shingle == whole[0]).all() and (held == whole[1]).all()
+    assert peak < sum(v.nbytes + s.nbytes for v, s in window) / 2
+    assert [len(x) for x in jaccard._common_of_window([(np.zeros(0, np.uint64), np.zeros(0, np.int32))])] == [0, 0]
+
+
+def test_a_worker_gives_back_what_a_task_has_freed(monkeypatch):
+    from orderflow.llm import tasks
+
+    given = []
+    monkeypatch.setattr(tasks.ctypes, "CDLL", lambda name: type("C", (), {"malloc_trim": staticmethod(given.append)}))
+    assert list(tasks.tidy(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3]
+    assert given == [0]
