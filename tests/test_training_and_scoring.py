@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from orderflow.operators import training
 from orderflow.operators.registry import register_version, set_alias
 from orderflow.operators.scoring import (
     Registry,
@@ -26,6 +27,7 @@ from orderflow.operators.training import (
     with_class_weights,
 )
 from orderflow.operators.windows import hash_split, training_dataset
+from orderflow.workspace import materialize, shared_dir
 
 pytestmark = pytest.mark.slow
 
@@ -189,3 +191,29 @@ def test_day_filter_prunes_month_partitions(spark, rows, tmp_path):
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "PushedFilters: [" in plan
     assert picked.count() == 50
+
+
+def tables(spark, label):
+    from pathlib import Path
+
+    return {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob(f"{label}-*")}
+
+
+def test_a_fit_leaves_no_training_table(spark, rows):
+    before = tables(spark, "training")
+    fit("logreg")(rows, SPEC)
+    assert tables(spark, "training") == before
+
+
+def test_written_rows_are_not_written_again_and_give_the_same_model(spark, rows, monkeypatch):
+    placed = materialize(training.placed_by_key(rows, "k"), "placed")
+    own = train(rows, "gbt", SPEC, "y", "k", GBT)
+    made = []
+    monkeypatch.setattr(training, "run_dir", lambda spark, label: made.append(label))
+    shared = train(placed, "gbt", SPEC, "y", "k", GBT, written=True)
+    assert made == [] and own.stages[-1].toDebugString.split("\n")[1:] == shared.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_fits_at_once_follow_memory(spark):
+    assert training.fits_at_once(spark, 1_000, 30) == training.FITS_AT_ONCE
+    assert training.fits_at_once(spark, 10**12, 30) == 1
