@@ -160,3 +160,30 @@ def test_no_side_is_sorted_or_crossed_whole(spark, sf_dir):
     assert "Cartesian" not in plan and "Window" not in plan and "Cross" not in plan
     same = replace(new, orders=new.orders)
     assert changed_keys(new.products, same.products, "product_id").count() == 0
+
+
+def test_a_refresh_leaves_neither_its_parts_nor_the_shuffles_of_its_collected_steps(spark, sf_dir, tmp_path, monkeypatch):
+    import orderflow.plans.refresh as module
+
+    before, after = world(), world()
+    deliver(after, max)
+    old, new = typed(spark, before), typed(spark, after)
+    build_layers(old, str(tmp_path))
+    made, dropped, drop = [], [], module.drop_folder
+    given = module.run_dir
+    monkeypatch.setattr(module, "run_dir", lambda s, label: made.append(given(s, label)) or made[-1])
+    monkeypatch.setattr(module, "drop_folder", lambda s, path: dropped.append(path) or drop(s, path))
+    assert refresh_layers(old, new, str(tmp_path))
+    names = {path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in made}
+    assert {"refresh-orders", "refresh-item_totals", "refresh-seller_record", "refresh-seller_totals"} <= names
+    assert sorted(dropped) == sorted(made)
+
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        every = files.getAllFiles()
+        return sum("shuffle_" in every.apply(i).getName() for i in range(every.size()))
+
+    held = shuffles()
+    before_the_news(load_roles(spark, sf_dir))
+    assert shuffles() <= held
